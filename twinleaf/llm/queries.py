@@ -6,17 +6,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from twinleaf.llm.bpe import encode_digests
 from twinleaf.llm.common import table
 from twinleaf.llm.minhash import near_duplicates
+from twinleaf.llm.rules import quality_rules
 from twinleaf.llm.sql import SQL
+from twinleaf.llm.tokens import token_counts
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def tokenizer(name: str) -> str:
+    """The place of a public tokenizer's file on this machine; it must be the same on the executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digests(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash": op1_minhash}
+    return {f.__name__: f for f in (op1_minhash, op3_token_counts, op4_bpe, op7_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
