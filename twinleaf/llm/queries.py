@@ -12,6 +12,7 @@ from twinleaf.llm.minhash import near_duplicates
 from twinleaf.llm.rules import quality_rules
 from twinleaf.llm.sql import SQL
 from twinleaf.llm.tokens import token_counts
+from twinleaf.llm.urls import url_verdicts
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +26,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(table(spark, sf_dir, "pages"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
@@ -38,7 +43,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op3_token_counts, op4_bpe, op7_quality_rules)}
+    return {f.__name__: f for f in (op1_minhash, op2_url_filter, op3_token_counts, op4_bpe, op7_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
