@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from twinleaf.llm.bpe import encode_digests
 from twinleaf.llm.common import table
 from twinleaf.llm.minhash import near_duplicates
+from twinleaf.llm.quality import quality_scores
 from twinleaf.llm.rules import quality_rules
 from twinleaf.llm.sql import SQL
 from twinleaf.llm.tokens import token_counts
@@ -38,12 +39,16 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op2_url_filter, op3_token_counts, op4_bpe, op7_quality_rules)}
+    return {f.__name__: f for f in (op1_minhash, op2_url_filter, op3_token_counts, op4_bpe, op5_quality_classifier, op7_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
