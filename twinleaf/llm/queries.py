@@ -11,6 +11,7 @@ from twinleaf.llm.common import table
 from twinleaf.llm.minhash import near_duplicates
 from twinleaf.llm.quality import quality_scores
 from twinleaf.llm.rules import quality_rules
+from twinleaf.llm.secrets import secret_spans
 from twinleaf.llm.sql import SQL
 from twinleaf.llm.tokens import token_counts
 from twinleaf.llm.urls import url_verdicts
@@ -47,8 +48,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_spans(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op2_url_filter, op3_token_counts, op4_bpe, op5_quality_classifier, op7_quality_rules)}
+    return {f.__name__: f for f in (op1_minhash, op2_url_filter, op3_token_counts, op4_bpe, op5_quality_classifier, op7_quality_rules, op9_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
