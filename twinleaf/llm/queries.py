@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from twinleaf.llm.bpe import encode_digests
 from twinleaf.llm.common import table
+from twinleaf.llm.licenses import license_labels
 from twinleaf.llm.minhash import near_duplicates
 from twinleaf.llm.quality import quality_scores
 from twinleaf.llm.rules import quality_rules
@@ -52,8 +53,12 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_labels(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op2_url_filter, op3_token_counts, op4_bpe, op5_quality_classifier, op7_quality_rules, op9_secret_scan)}
+    return {f.__name__: f for f in (op1_minhash, op2_url_filter, op3_token_counts, op4_bpe, op5_quality_classifier, op7_quality_rules, op9_secret_scan, op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
