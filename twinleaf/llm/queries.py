@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from twinleaf.llm.bpe import encode_digests
 from twinleaf.llm.common import table
+from twinleaf.llm.digests import fingerprints
 from twinleaf.llm.licenses import license_labels
 from twinleaf.llm.minhash import near_duplicates
 from twinleaf.llm.quality import quality_scores
@@ -49,6 +50,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(table(spark, sf_dir, "documents"))
 
@@ -58,7 +63,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op2_url_filter, op3_token_counts, op4_bpe, op5_quality_classifier, op7_quality_rules, op9_secret_scan, op10_license_scan)}
+    return {f.__name__: f for f in (op1_minhash, op2_url_filter, op3_token_counts, op4_bpe, op5_quality_classifier, op7_quality_rules, op8_fingerprints, op9_secret_scan, op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
