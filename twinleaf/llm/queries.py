@@ -11,6 +11,7 @@ from twinleaf.llm.common import table
 from twinleaf.llm.digests import fingerprints
 from twinleaf.llm.licenses import license_labels
 from twinleaf.llm.minhash import near_duplicates
+from twinleaf.llm.mixing import mix_positions
 from twinleaf.llm.quality import quality_scores
 from twinleaf.llm.rules import quality_rules
 from twinleaf.llm.secrets import secret_spans
@@ -46,6 +47,14 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+#: Target weights of the mix; sources that are not named have 1.
+TARGET_WEIGHTS = {"src0": 4.0, "src1": 2.0, "src2": 2.0, "src3": 0.5}
+
+
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_positions(table(spark, sf_dir, "documents"), TARGET_WEIGHTS)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -63,7 +72,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op2_url_filter, op3_token_counts, op4_bpe, op5_quality_classifier, op7_quality_rules, op8_fingerprints, op9_secret_scan, op10_license_scan)}
+    return {f.__name__: f for f in (op1_minhash, op2_url_filter, op3_token_counts, op4_bpe, op5_quality_classifier, op6_source_mix, op7_quality_rules, op8_fingerprints, op9_secret_scan, op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
