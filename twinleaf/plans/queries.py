@@ -1,19 +1,235 @@
-"""Registered queries of the record pipeline."""
+"""Registered queries of the record pipeline over the test tables.
+
+Records are the pages: id is the page's id, the section is made of the address
+(scheme / domain / first path segment) and the name is the page's title.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from twinleaf.config import Config
+from twinleaf.functions import ngrams, text
+from twinleaf.functions.fuzzy import token_set
+from twinleaf.functions.lexicon import PAGES, labels_of, marker_count, strip_labels
+from twinleaf.operators import classify, exchange, features, groups, pairs, similarity
+from twinleaf.plans.sql import LEMMAS, SQL
+from twinleaf.sources import records as source
+from twinleaf.sources.exchange import VERDICTS, parse_verdicts
+from twinleaf.storage import cut
+
+CONFIG = Config()
+NEGATIVE = ["th", "ent"]
+
+
+def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def records(spark: SparkSession, d: str) -> DataFrame:
+    url = F.coalesce("url", F.lit(""))
+    host = F.regexp_extract(url, "://([^/?#]*)", 1)
+    section = F.concat_ws(" / ", F.regexp_extract(url, "^([a-z]+)://", 1), F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1), F.regexp_extract(url, "://[^/?#]*/([^/?#]*)", 1))
+    pages = _table(spark, d, "pages").select(F.col("page_id").cast("string").alias("id"), section.alias("section"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("name"), F.col("page_id").alias("pos"))
+    return source.clean_records(pages)
+
+
+def parsed(spark: SparkSession, d: str) -> DataFrame:
+    return classify.parse_records(records(spark, d), CONFIG)
+
+
+def sections(spark: SparkSession, d: str) -> DataFrame:
+    return classify.classify_sections(classify.section_profile(parsed(spark, d)), PAGES)
+
+
+def final_sections(spark: SparkSession, d: str) -> DataFrame:
+    """The outside labels are those of the stand-in, for ambiguous sections of the domain example.net."""
+    sure, unsure = classify.route(sections(spark, d), CONFIG)
+    return classify.merge_labels(sure, unsure, classify.rule_labels(unsure.where(F.contains("section_path", F.lit("example.net")))))
+
+
+def feature_rows(spark: SparkSession, d: str) -> DataFrame:
+    return features.feature_table(parsed(spark, d), final_sections(spark, d), PAGES)
+
+
+def candidate_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return pairs.candidates(cut(feature_rows(spark, d)), CONFIG)
+
+
+def merged(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(verdicts, features): the stand-in arbiter answers pairs of the high tier and a part of the others."""
+    rows = cut(feature_rows(spark, d))
+    found = cut(pairs.candidates(rows, CONFIG))
+    given = exchange.rule_verdicts(found.where("tier = 'high_confidence' or fuzz < 0.8"), rows, NEGATIVE, CONFIG.lower)
+    return exchange.merge_verdicts(found, given), rows
+
+
+# ---- the queries
+
+
+def flagship(spark: SparkSession, d: str) -> DataFrame:
+    return pairs.in_order(candidate_pairs(spark, d))
+
+
+def parse_records(spark: SparkSession, d: str) -> DataFrame:
+    return parsed(spark, d).select("id", "section", F.array_join("section_segments", "|").alias("segments"), "name", text.secondary_key(F.col("section_segments")).alias("secondary_key"))
+
+
+def section_profile(spark: SparkSession, d: str) -> DataFrame:
+    return classify.section_profile(parsed(spark, d)).select("section", F.array_join("segments", "|").alias("segments"), F.col("count").alias("n"), F.array_join("sample_names", "|").alias("sample_names"))
+
+
+def repeated_keys(spark: SparkSession, d: str) -> DataFrame:
+    return source.duplicate_keys(source.require_columns(_table(spark, d, "orders"), ("o_orderkey", "o_custkey")), "o_custkey").withColumnRenamed("count", "n")
+
+
+def normalize_documents(spark: SparkSession, d: str) -> DataFrame:
+    df = text.with_lemmas(_table(spark, d, "documents").select("doc_id", "text"), "text", "lemmas", PAGES)
+    return df.select("doc_id", F.size("lemmas").alias("n_lemmas"), text.short_hash(text.matching_text(F.col("lemmas"))).alias("text_hash"))
+
+
+def lemma_lookup(spark: SparkSession, d: str) -> DataFrame:
+    table = spark.createDataFrame(list(LEMMAS.items()), "token string, lemma string")
+    df = _table(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_name")
+    return text.with_lemmas(df, "p_name", "lemmas", PAGES, text.Dictionary(table)).select("id", text.matching_text(F.col("lemmas")).alias("lemma_text"))
+
+
+def label_extract(spark: SparkSession, d: str) -> DataFrame:
+    df = text.with_lemmas(records(spark, d), "name", "lemmas", PAGES)
+    joined = text.matching_text(F.col("lemmas"))
+    return df.select("id", F.array_join(labels_of(joined, PAGES), ",").alias("labels"), marker_count(F.col("section"), PAGES).alias("n_markers"), text.matching_text(strip_labels(F.col("lemmas"), PAGES)).alias("stripped_name"))
+
+
+def classify_sections(spark: SparkSession, d: str) -> DataFrame:
+    return sections(spark, d).select("section_path", "category", F.array_join("transfer_types", ",").alias("types"), "feature_score", "confidence")
+
+
+def route_sections(spark: SparkSession, d: str) -> DataFrame:
+    sure, unsure = classify.route(sections(spark, d), CONFIG)
+    return sure.select("section_path", F.lit("classified").alias("route")).unionByName(unsure.select("section_path", F.lit("ambiguous").alias("route")))
+
+
+def merge_labels(spark: SparkSession, d: str) -> DataFrame:
+    return final_sections(spark, d).select("section_path", "category", F.array_join("transfer_types", ",").alias("types"), "source", "reason")
+
+
+def feature_table(spark: SparkSession, d: str) -> DataFrame:
+    key = features.block_key(F.col("transfer_type_set"), F.col("feature_block_key"))
+    return feature_rows(spark, d).select("id", "section_category", "name_lemma_text", F.array_join("transfer_type_set", ",").alias("types"), "feature_block_key", F.array_join(key, "|").alias("block_key"))
+
+
+def char_grams(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "part").select(F.explode(ngrams.char_grams(F.col("p_name"))).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+
+
+def word_grams(spark: SparkSession, d: str) -> DataFrame:
+    return records(spark, d).select(F.explode(ngrams.word_grams(F.col("name"))).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+
+
+def _part_items(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "part").select(F.array("p_brand").alias("block"), F.col("p_partkey").alias("id"), F.col("p_name").alias("text"))
+
+
+def tfidf_weights(spark: SparkSession, d: str) -> DataFrame:
+    w = similarity.weights(_part_items(spark, d), ngrams.word_grams(F.col("text")))
+    return w.select(F.col("block")[0].alias("block"), "id", "term", F.round("w", 6).alias("w"))
+
+
+def cosine_pairs_char(spark: SparkSession, d: str) -> DataFrame:
+    items = pairs.items_of(cut(feature_rows(spark, d)))
+    return similarity.cosine_pairs(similarity.weights(items, ngrams.char_grams(F.col("text")))).select("a_id", "b_id", F.round("sim", 4).alias("sim"))
+
+
+def cosine_pairs_word(spark: SparkSession, d: str) -> DataFrame:
+    items = pairs.items_of(cut(feature_rows(spark, d)))
+    return similarity.cosine_pairs(similarity.weights(items, ngrams.word_grams(F.col("text")))).select("a_id", "b_id", F.round("sim", 4).alias("sim"))
+
+
+def token_set_ratios(spark: SparkSession, d: str) -> DataFrame:
+    """Of titles that begin with the same word."""
+    r = records(spark, d).select("id", "name", F.substring_index("name", " ", 1).alias("k"))
+    a, b = r.select(F.col("id").alias("a_id"), F.col("name").alias("a"), "k"), r.select(F.col("id").alias("b_id"), F.col("name").alias("b"), "k")
+    return a.join(b, "k").where("a_id < b_id").select("a_id", "b_id", F.round(token_set("a", "b"), 6).alias("ratio"))
+
+
+def candidates(spark: SparkSession, d: str) -> DataFrame:
+    return candidate_pairs(spark, d).withColumn("block_key", F.array_join("block_key", "|"))
+
+
+def topk_union_ties(spark: SparkSession, d: str) -> DataFrame:
+    scored = similarity.cosine_pairs(similarity.weights(_part_items(spark, d), ngrams.word_grams(F.col("text"))), "score")
+    return pairs.top_pairs(scored, CONFIG.top_k).select("a_id", "b_id", F.round("score", 4).alias("score"))
+
+
+def batch_pairs(spark: SparkSession, d: str) -> DataFrame:
+    rows = cut(feature_rows(spark, d))
+    batched = exchange.batches(pairs.candidates(rows, CONFIG), CONFIG)
+    return exchange.hydrated(batched, rows).select("batch_id", "pair_id", "tier", F.col("a.name").alias("a_name"), F.col("b.section").alias("b_section"), F.array_join("a.transfer_types", ",").alias("a_types"))
+
+
+def batch_manifest(spark: SparkSession, d: str) -> DataFrame:
+    return exchange.manifest(exchange.batches(candidate_pairs(spark, d), CONFIG)).withColumnRenamed("count", "n")
+
+
+def verdict_parse(spark: SparkSession, d: str) -> DataFrame:
+    """Verdict lines written out of the events: some malformed, some of an unknown verdict, many for one pair."""
+    e = _table(spark, d, "events")
+    word = F.element_at(F.array(*map(F.lit, [*VERDICTS, "maybe"])), (F.col("event_id") % 5 + 1).cast("int"))
+    line = F.when(F.col("event_id") % 7 == 0, "not json").when(F.col("event_id") % 11 == 0, "[1]").otherwise(F.concat(F.lit('{"pair_id": "p_'), "user_id", F.lit('", "verdict": "'), word, F.lit('", "reason": "'), "event_type", F.lit('"}')))
+    lines = e.select(line.alias("value"), (F.col("event_id") % 3).cast("int").alias("batch_id"), F.col("event_id").alias("line_no"))
+    return exchange.last_verdicts(parse_verdicts(lines).where(F.col("verdict").isin(VERDICTS))).select("pair_id", "verdict", "reason", "batch_id", "line_no")
+
+
+def merge_verdicts(spark: SparkSession, d: str) -> DataFrame:
+    return merged(spark, d)[0]
+
+
+def pending_pairs(spark: SparkSession, d: str) -> DataFrame:
+    verdicts = cut(merged(spark, d)[0])
+    return exchange.pending_pairs(verdicts.select("pair_id", "a_id", "b_id"), verdicts.where(F.col("reason") != exchange.NO_VERDICT))
+
+
+def duplicate_groups(spark: SparkSession, d: str) -> DataFrame:
+    found = groups.duplicate_groups(*merged(spark, d))
+    shown = F.array_join(F.transform("transfer_type_sets", lambda x: F.concat(F.lit("{"), F.array_join(x, ","), F.lit("}"))), " ")
+    return groups.in_order(found).select("number", "size", F.array_join("member_ids", ",").alias("member_ids"), shown.alias("types"), F.size("pair_edges").alias("n_edges"))
+
+
+def report_summary(spark: SparkSession, d: str) -> DataFrame:
+    verdicts, rows = merged(spark, d)
+    verdicts = cut(verdicts)
+    return groups.summary(rows, verdicts, groups.duplicate_groups(verdicts, rows), final_sections(spark, d))
+
+
+def uncertain_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return groups.pair_table(*merged(spark, d), "uncertain")
+
+
+def apart_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return groups.pair_table(*merged(spark, d), "different_functionality")
+
+
+def unsettled_sections(spark: SparkSession, d: str) -> DataFrame:
+    return groups.unsettled_sections(final_sections(spark, d)).select("section_path", "category", "source")
+
+
+def record_hash(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "benchmark").select("item_id", text.short_hash(F.col("text")).alias("hash"))
 
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
+_ALL = [
+    parse_records, section_profile, repeated_keys, normalize_documents, lemma_lookup, label_extract, classify_sections, route_sections, merge_labels, feature_table, char_grams, word_grams, tfidf_weights,
+    cosine_pairs_char, cosine_pairs_word, token_set_ratios, candidates, topk_union_ties, batch_pairs, batch_manifest, verdict_parse, merge_verdicts, pending_pairs, duplicate_groups, report_summary,
+    uncertain_pairs, apart_pairs, unsettled_sections, record_hash,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {f.__name__: f for f in _ALL}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
