@@ -22,7 +22,7 @@ from twinleaf.sources.exchange import VERDICTS, parse_verdicts
 from twinleaf.storage import cut
 
 CONFIG = Config()
-NEGATIVE = ["th", "ent"]
+NEGATIVE = ["st"]
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:

@@ -102,7 +102,7 @@ cand AS (
   FROM scored SEMI JOIN top USING (a_id, b_id)),
 batched AS (SELECT *, CAST(floor((row_number() OVER (ORDER BY score DESC, pair_id) - 1) / 25) + 1 AS INTEGER) AS batch_id FROM cand)"""
 _VERDICTS = rf"""{_CANDIDATES},
-marks AS (SELECT id, regexp_matches(lower(name), 'th|ent') AS m FROM feat),
+marks AS (SELECT id, regexp_matches(lower(name), 'st') AS m FROM feat),
 given AS (
   SELECT pair_id, CASE WHEN x.m <> y.m THEN 'different_functionality' WHEN score >= 0.55 THEN 'duplicate' ELSE 'different_functionality' END AS verdict,
     CASE WHEN x.m <> y.m THEN 'one title is negative' WHEN score >= 0.55 THEN 'titles agree' ELSE 'titles differ' END AS reason
@@ -120,7 +120,7 @@ _TYPES = "CASE WHEN {0}.id IS NULL THEN '?' WHEN len({0}.types) > 0 THEN array_t
 
 
 def _pair_table(verdict: str) -> str:
-    return f"""WITH RECURSIVE {_VERDICTS} SELECT pair_id, a_id, b_id, format('{{:.3f}}', score) AS score, coalesce(reason, 'no reason given') AS reason,
+    return f"""WITH RECURSIVE {_VERDICTS} SELECT pair_id, a_id, b_id, format('{{:.3f}}', round(score + 1e-9, 3)) AS score, coalesce(reason, 'no reason given') AS reason,
   x.name AS a_name, x.section AS a_section, {_TYPES.format("x")} AS a_types, y.name AS b_name, y.section AS b_section, {_TYPES.format("y")} AS b_types
 FROM verd LEFT JOIN feat x ON x.id = a_id LEFT JOIN feat y ON y.id = b_id WHERE verdict = '{verdict}'"""
 
@@ -153,7 +153,7 @@ SQL = {
     "merge_verdicts": f"WITH {_VERDICTS} SELECT * FROM verd",
     "pending_pairs": f"WITH {_VERDICTS} SELECT pair_id, a_id, b_id FROM verd WHERE reason = 'no verdict from LLM'",
     "duplicate_groups": f"WITH RECURSIVE {_GROUPS} SELECT row_number() OVER (ORDER BY size DESC, members) AS number, size, array_to_string(members, ',') AS member_ids, array_to_string(list_transform(sets, lambda x: '{{' || array_to_string(x, ',') || '}}'), ' ') AS types, n_edges FROM grp",
-    "report_summary": f"WITH RECURSIVE {_GROUPS} SELECT (SELECT count(*) FROM feat) AS total_records, (SELECT count(*) FROM verd) AS total_pairs, {', '.join(f"(SELECT count(*) FROM verd WHERE verdict = '{v}') AS n_{v}" for v in ('duplicate', 'different_transfer_type', 'different_functionality', 'uncertain'))}, (SELECT count(*) FROM grp) AS group_count, (SELECT coalesce(sum(n_edges), 0) FROM grp) AS duplicate_pair_count, (SELECT coalesce(max(size), 0) FROM grp) AS largest_group, (SELECT count(*) FROM final WHERE source <> 'heuristic') AS ambiguous_sections",
+    "report_summary": f"WITH RECURSIVE {_GROUPS} SELECT (SELECT count(*) FROM feat) AS total_records, (SELECT count(*) FROM verd) AS total_pairs, {', '.join(f"(SELECT count(*) FROM verd WHERE verdict = '{v}') AS n_{v}" for v in ('duplicate', 'different_transfer_type', 'different_functionality', 'uncertain'))}, (SELECT count(*) FROM grp) AS group_count, (SELECT CAST(coalesce(sum(n_edges), 0) AS BIGINT) FROM grp) AS duplicate_pair_count, (SELECT coalesce(max(size), 0) FROM grp) AS largest_group, (SELECT count(*) FROM final WHERE source <> 'heuristic') AS ambiguous_sections",
     "uncertain_pairs": _pair_table("uncertain"),
     "apart_pairs": _pair_table("different_functionality"),
     "unsettled_sections": f"WITH {_SECTIONS} SELECT section_path, category, source FROM final WHERE source <> 'heuristic'",
