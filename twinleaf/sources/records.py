@@ -35,6 +35,19 @@ def require_unique(df: DataFrame, key: str = "id") -> DataFrame:
     return df
 
 
+def _has_byte_order_mark(spark: SparkSession, path: str) -> bool:
+    """Whether a file begins with one; Spark's own readers skip it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getFileStatus(p).isDirectory():
+        return False
+    stream = fs.open(p)
+    try:
+        return [stream.read() for _ in range(3)] == [0xEF, 0xBB, 0xBF]
+    finally:
+        stream.close()
+
+
 def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     """Rows of a UTF-8 TSV file with a header and CSV quoting, all columns as strings, empty fields as "", with their place `pos`.
 
@@ -43,11 +56,9 @@ def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     """
     if not exists(spark, path):
         raise FileNotFoundError(f"{path}: expected a TSV file with the columns {', '.join(REQUIRED)}")
-    first = spark.read.text(path).limit(1).collect()
-    head = first[0][0] if first else ""
     df = spark.read.csv(path, sep="\t", header=True, quote='"', escape='"', multiLine=True, inferSchema=False, encoding="UTF-8", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    if head.startswith("﻿"):
-        df = df.withColumnRenamed(df.columns[0], "﻿" + df.columns[0].lstrip("﻿"))
+    if _has_byte_order_mark(spark, path):
+        df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0].lstrip("\ufeff"))
     require_columns(df)
     # a multi-line file is one task's work: ids rise in the order of rows
     return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns]).withColumn("pos", F.monotonically_increasing_id())
