@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 BLOCK, PERIOD = 32, 1000
@@ -130,7 +131,7 @@ def _ordered(df: DataFrame, id_col: str, source_col: str, weights: dict[str, flo
     plan = spark.sparkContext.broadcast(Plan([c for _, c in rows], shares([weights.get(s, 1.0) for s, _ in rows]) if rows else [], block))
     numbers = spark.sparkContext.broadcast({s: k for k, (s, _) in enumerate(rows)})
     ranked = ranked.select(*[F.col(f"`{c}`") for c in df.columns], "_mix_source", "_mix_rank")
-    schema = df.schema.add("_mix_block", "long").add("_mix_slot", "long").add("_mix_position", "long")
+    schema = StructType([*df.schema.fields, *(StructField(n, LongType()) for n in ("_mix_block", "_mix_slot", "_mix_position"))])
     return ranked.mapInArrow(_placed(plan, numbers), schema)
 
 
