@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinleaf.storage import cut
+from twinleaf.storage import cut, remove
 
 
 def _hang(edges: DataFrame, both_ways: bool) -> DataFrame:
@@ -41,7 +41,8 @@ def connected_components(edges: DataFrame, a: str = "a_id", b: str = "b_id", max
     stars = cut(edges.select(F.greatest(a, b).alias("high"), F.least(F.col(a), F.col(b)).alias("low")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct())
     mark = None
     for _ in range(max_rounds):
-        stars = cut(_hang(_hang(stars, True), False))
+        old, stars = stars, cut(_hang(_hang(stars, True), False))
+        remove(edges.sparkSession, old)
         seen = stars.agg(F.count("*"), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))).first()
         if tuple(seen) == mark:
             break
