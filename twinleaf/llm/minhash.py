@@ -10,14 +10,16 @@ estimates the similarity; what may reach the threshold is confirmed on full sets
 
 No bucket is capped and no pairs of a bucket are emitted wholesale:
 
-1. every member of a bucket is compared with the bucket's least member;
-2. components of the confirmed links are found; a bucket whose members are by now
-   in one component is finished, since none of its other pairs can change a result;
-3. in the rest, members outside the main component are compared with all others in
-   blocks of bounded size, on packed signatures, and a pair leaves a block only if
-   its estimate may reach the threshold, its ends are in different components, and
-   this is the first band on which the two agree;
-4. these are confirmed too, and components of all links give the result.
+1. every member of a bucket is compared with the bucket's least member, its hub, on
+   packed signatures, and confirmed with the hub that it is most like;
+2. components of the confirmed links are found; a hub whose bucket mates are by now in
+   one component is finished, since none of their other pairs can change a result;
+3. for the rest, members outside the hub's component are compared with all others that
+   share a bucket of that hub, in blocks of bounded size, on packed signatures; a pair
+   leaves a block only if its estimate may reach the threshold and its ends are in
+   different components, and leaves one block only;
+4. these, and pairs with further hubs across components, are confirmed too, and
+   components of all links give the result.
 
 At similarity 0.85 a pair is missed by all bands with probability (1-0.85^8)^64,
 about 1e-9, and by the estimate (slack: 4.7 standard errors) about 1e-6.
@@ -167,29 +169,23 @@ def _estimated(threshold: float):
             for b in range(0, batch.num_rows, 2048):
                 part = batch.slice(b, 2048)
                 x, y = (planes(np.frombuffer(b"".join(part.column(i).to_pylist()), np.uint8).reshape(-1, BINS)) for i in (2, 3))
-                keep = estimate(y, x) >= threshold
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(keep))
+                likeness = estimate(y, x)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(likeness)], names=["a", "b", "likeness"]).filter(pa.array(likeness >= threshold))
 
     return run
 
 
 def _blocks(threshold: float):
-    """Compare the two blocks of each (bucket, x, y) group; the groups arrive sorted and are of bounded size."""
+    """Compare the two blocks of each (hub, x, y) group; the groups arrive sorted and are of bounded size."""
 
-    def pairs(band: int, x: int, y: int, ids, comp, blk, sigs):
-        words = sigs.view(np.uint64).reshape(len(ids), BANDS)
-        bits = planes(sigs)
+    def pairs(hub: int, x: int, y: int, ids, comp, blk, hubs, bits):
         left, right = np.flatnonzero(blk == x), np.flatnonzero(blk == y)
         for i in left:
             other = right[right > i] if x == y else right
             other = other[comp[other] != comp[i]]
-            if not len(other):
-                continue
-            other = other[estimate(bits[i], bits[other]) >= threshold]
-            if band and len(other):
-                other = other[~(words[other, :band] == words[i, :band]).any(axis=1)]
-            for j in other:
-                yield min(ids[i], ids[j]), max(ids[i], ids[j])
+            for j in other[estimate(bits[i], bits[other]) >= threshold] if len(other) else ():
+                if min(hubs[i] & hubs[j]) == hub:  # a pair leaves one group only
+                    yield min(ids[i], ids[j]), max(ids[i], ids[j])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, out = None, [], []
@@ -197,8 +193,8 @@ def _blocks(threshold: float):
         def close():
             if key is not None and len(held) > 1:
                 ids, comp, blk = (np.array([h[k] for h in held]) for k in (0, 1, 2))
-                sigs = np.frombuffer(b"".join(h[3] for h in held), np.uint8).reshape(-1, BINS)
-                out.extend(pairs(key[1], key[2], key[3], ids, comp, blk, sigs))
+                bits = planes(np.frombuffer(b"".join(h[4] for h in held), np.uint8).reshape(-1, BINS))
+                out.extend(pairs(*key, ids, comp, blk, [set(h[3]) for h in held], bits))
 
         def flush():
             rows = pa.RecordBatch.from_arrays([pa.array([int(p[k]) for p in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
@@ -206,12 +202,12 @@ def _blocks(threshold: float):
             return rows
 
         for batch in batches:
-            for bucket, band, x, y, i, c, b, sig in zip(*(col.to_pylist() for col in batch.columns), strict=True):
-                if (bucket, band, x, y) != key:
+            for hub, x, y, *rest in zip(*(col.to_pylist() for col in batch.columns), strict=True):
+                if (hub, x, y) != key:
                     close()
                     held.clear()
-                    key = (bucket, band, x, y)
-                held.append((i, c, b, sig))
+                    key = (hub, x, y)
+                held.append(rest)
                 if len(out) > 20_000:
                     yield flush()
         close()
@@ -276,41 +272,42 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     members = signed.mapInArrow(_bands, "bucket long, band smallint, id long")
     crowded = members.groupBy("bucket", "band").agg(F.min("id").alias("hub"), F.count("*").alias("size")).where("size > 1")
-    members = cut(members.join(crowded, ["bucket", "band"]))
+    to_hub = cut(members.join(crowded, ["bucket", "band"]).where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
 
     def with_sigs(pairs: DataFrame) -> DataFrame:
         return pairs.join(signed.select(F.col("id").alias("a"), F.col("sig").alias("ga")), "a").join(signed.select(F.col("id").alias("b"), F.col("sig").alias("gb")), "b").select("a", "b", "ga", "gb")
 
-    to_hub = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    likely = cut(with_sigs(to_hub).mapInArrow(_estimated(threshold), "a long, b long"))
-    links = cut(_confirm(likely, docs, percent))
-    comps = cut(connected_components(links, "a", "b"))
-
-    # what the hubs have not settled
-    known = members.join(comps.select(F.col("node").alias("id"), "component"), "id", "left").select("bucket", "band", "id", "hub", F.coalesce("component", "id").alias("comp"))
-    known = cut(known)
-    main = known.where("id = hub").select("bucket", "band", F.col("comp").alias("main"))
-    open_ = known.where("id <> hub").join(main, ["bucket", "band"]).withColumn("rest", F.col("comp") != F.col("main"))
-    sizes = open_.groupBy("bucket", "band").agg(F.count_if("rest").alias("n_rest"), F.count_if(~F.col("rest")).alias("n_main"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1 and n_rest > 0")
-    sizes = sizes.select("bucket", "band", F.ceil(F.col("n_rest") / BLOCK).cast("int").alias("r"), F.ceil(F.col("n_main") / BLOCK).cast("int").alias("m"))
-    place = open_.join(sizes, ["bucket", "band"]).withColumn("own", F.when(F.col("rest"), F.pmod(F.xxhash64("id"), "r")).otherwise(F.pmod(F.xxhash64("id"), F.greatest("m", F.lit(1)))).cast("int"))
-    # blocks 0..m-1 are of the main component, m..m+r-1 of the others; a task (x, y) takes x from the others and y from either
+    likely = cut(with_sigs(to_hub).mapInArrow(_estimated(threshold), "a long, b long, likeness double"))
+    # first each member with the hub that it is most like
+    best = likely.groupBy("b").agg(F.max_by("a", F.struct("likeness", -F.col("a"))).alias("a")).select("a", "b")
+    comps = cut(connected_components(_confirm(best, docs, percent), "a", "b"))
+
+    def placed(pairs: DataFrame, end: str) -> DataFrame:
+        return pairs.join(comps.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")), end, "left").withColumn(f"c{end}", F.coalesce(f"c{end}", end))
+
+    # what this has not settled: other hubs, and members with each other
+    early = placed(placed(likely.select("a", "b"), "a"), "b").where("ca <> cb").select("a", "b")
+    open_ = cut(placed(placed(to_hub, "a"), "b").select(F.col("a").alias("hub"), F.col("b").alias("id"), F.col("cb").alias("comp"), (F.col("ca") != F.col("cb")).alias("rest")))
+    sizes = open_.groupBy("hub").agg(F.count_if("rest").alias("n_rest"), F.count_if(~F.col("rest")).alias("n_main"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1 and n_rest > 0")
+    sizes = sizes.select("hub", F.ceil(F.col("n_rest") / BLOCK).cast("int").alias("r"), F.ceil(F.col("n_main") / BLOCK).cast("int").alias("m"))
+    place = open_.join(sizes, "hub").withColumn("own", F.when(F.col("rest"), F.pmod(F.xxhash64("id"), "r")).otherwise(F.pmod(F.xxhash64("id"), F.greatest("m", F.lit(1)))).cast("int"))
+    # blocks 0..m-1 are of the hub's component, m..m+r-1 of the others; a task (x, y) takes x from the others and y from either
     tasks = F.expr("""
         if(rest,
            concat(if(m > 0, transform(sequence(0, greatest(m - 1, 0)), j -> struct(m + own as x, j as y)), array()),
                   transform(sequence(0, r - 1), j -> struct(m + least(own, j) as x, m + greatest(own, j) as y))),
            transform(sequence(0, r - 1), j -> struct(m + j as x, own as y)))""")
-    spread = place.select("bucket", "band", "id", "comp", F.when(F.col("rest"), F.col("m") + F.col("own")).otherwise(F.col("own")).alias("blk"), F.explode(tasks).alias("t"))
-    work = spread.join(signed, "id").select("bucket", "band", "t.x", "t.y", "id", "comp", "blk", "sig")
-    work = work.repartition("bucket", "band", "x", "y").sortWithinPartitions("bucket", "band", "x", "y")
-    late = cut(work.mapInArrow(_blocks(threshold), "a long, b long").distinct())
+    spread = place.select("hub", "id", "comp", F.when(F.col("rest"), F.col("m") + F.col("own")).otherwise(F.col("own")).alias("blk"), F.explode(tasks).alias("t"))
+    hubs = open_.groupBy("id").agg(F.collect_list("hub").alias("hubs"))  # one for each band at most
+    work = spread.join(signed.join(hubs, "id"), "id").select("hub", "t.x", "t.y", "id", "comp", "blk", "hubs", "sig")
+    work = work.repartition("hub", "x", "y").sortWithinPartitions("hub", "x", "y")
+    late = cut(work.mapInArrow(_blocks(threshold), "a long, b long").unionByName(early).distinct())
     if late.isEmpty():
         final = comps
     else:
-        more = _confirm(late, docs, percent)
         # the links so far are kept as stars of their components
         stars = comps.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
-        final = connected_components(stars.unionByName(more), "a", "b")
+        final = connected_components(stars.unionByName(_confirm(late, docs, percent)), "a", "b")
 
     least = reps.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     out = made.select("id", "n", "digest").join(least, "digest", "left")
