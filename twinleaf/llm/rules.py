@@ -18,6 +18,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from twinleaf.storage import cut
+
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -129,10 +131,11 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(F.col(stratum_col).cast("string"), F.lit("\x00")).alias("stratum"))
     good = labels.where(F.col(label_col) == 1).where(F.col(label_id).isNotNull()).select(F.col(label_id).alias("id")).distinct()
-    measured = with_base(docs, F.col("text"))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    chosen = cutoffs(with_base(docs.join(good, "id", "left_semi"), F.col("text")).where("not base_failed").select("stratum", *RULES), risk, delta)
-    judged = measured.select("id", "stratum", *base, *RULES).join(chosen, "stratum", "left")
+    # measured once, in numbers: neither the labels' join nor the verdicts need a text
+    measured = cut(with_base(docs, F.col("text")).select("id", "stratum", *base, *RULES))
+    chosen = cutoffs(measured.where("not base_failed").select("id", "stratum", *RULES).join(good, "id", "left_semi"), risk, delta)
+    judged = measured.join(chosen, "stratum", "left")
     rejected = F.lit(False)
     for r in RULES:
         rejected = rejected | F.coalesce(F.col(r) > F.col(f"cut_{r}"), F.lit(False))
