@@ -9,7 +9,8 @@ from twinleaf.config import Config
 from twinleaf.functions.fuzzy import token_set
 from twinleaf.functions.ngrams import char_grams, word_grams
 from twinleaf.operators.features import block_key, text_or_name
-from twinleaf.operators.similarity import block_pairs, cosine_pairs, weights
+from twinleaf.operators.similarity import block_pairs, cosines_of, likely_pairs, weights
+from twinleaf.storage import cut
 
 
 def items_of(features: DataFrame) -> DataFrame:
@@ -19,14 +20,13 @@ def items_of(features: DataFrame) -> DataFrame:
 
 def cosines(items: DataFrame, config: Config = Config()) -> DataFrame:
     """(block, a_id, b_id, tfidf_char, tfidf_word) of pairs that pass the prefilter."""
-    on = ["block", "a_id", "b_id"]
-    char = cosine_pairs(weights(items, char_grams(F.col("text"))), "tfidf_char")
-    word = cosine_pairs(weights(items, word_grams(F.col("text"))), "tfidf_word")
-    both = char.join(word, on, "full")
-    if config.prefilter * config.lower <= 0:  # pairs that share nothing pass too
-        both = block_pairs(items).join(both, on, "left")
+    on, least = ["block", "a_id", "b_id"], config.prefilter * config.lower
+    char, word = cut(weights(items, char_grams(F.col("text")))), cut(weights(items, word_grams(F.col("text"))))
+    # without a threshold, pairs that share nothing pass too
+    some = cut(likely_pairs(char, least).union(likely_pairs(word, least)).distinct() if least > 0 else block_pairs(items))
+    both = some.join(cosines_of(some, char, "tfidf_char"), on, "left").join(cosines_of(some, word, "tfidf_word"), on, "left")
     both = both.select(*on, F.coalesce("tfidf_char", F.lit(0.0)).alias("tfidf_char"), F.coalesce("tfidf_word", F.lit(0.0)).alias("tfidf_word"))
-    return both.where(F.greatest("tfidf_char", "tfidf_word") >= config.prefilter * config.lower)
+    return both.where(F.greatest("tfidf_char", "tfidf_word") >= least)
 
 
 def scored(pairs: DataFrame, items: DataFrame, config: Config = Config()) -> DataFrame:

@@ -1,8 +1,11 @@
-"""Block-local TF-IDF cosine by an inverted index: only pairs that share a term are ever formed."""
+"""Block-local TF-IDF cosine by an inverted index: only pairs that share a term are ever formed.
+
+With a threshold, only pairs that share a rare enough term are: see prefixes().
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -28,6 +31,33 @@ def cosine_pairs(weighted: DataFrame, name: str = "sim") -> DataFrame:
     return a.join(b, ["block", "term"]).where("a_id < b_id").groupBy("block", "a_id", "b_id").agg(F.sum(F.col("wa") * F.col("wb")).alias(name))
 
 
+def prefixes(weighted: DataFrame, least: float) -> DataFrame:
+    """Each record's terms, rarest in the block first, up to where the rest of its vector is shorter than `least`.
+
+    Two records of cosine `least` or more share one of these: were their first common
+    term, in this order, in the rest of either, all their common terms would be, and
+    the cosine at most that rest's length. So the commonest terms, whose pairs grow
+    with the square of their records, join nothing.
+    """
+    rest = Window.partitionBy("block", "id").orderBy(F.desc("df"), F.desc("term"))
+    return weighted.withColumn("_rest", F.sum(F.col("w") * F.col("w")).over(rest.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("_rest") >= least * least - 1e-9).drop("_rest")
+
+
+def likely_pairs(weighted: DataFrame, least: float) -> DataFrame:
+    """(block, a_id, b_id) of all pairs a_id < b_id of cosine `least` or more, and some others."""
+    rare = prefixes(weighted, least).where("df > 1")
+    a, b = rare.select("block", "term", F.col("id").alias("a_id")), rare.select("block", "term", F.col("id").alias("b_id"))
+    return a.join(b, ["block", "term"]).where("a_id < b_id").select("block", "a_id", "b_id").distinct()
+
+
+def cosines_of(pairs: DataFrame, weighted: DataFrame, name: str) -> DataFrame:
+    """(block, a_id, b_id, name) of the given pairs that share a term."""
+    shared = weighted.where("df > 1")
+    a = shared.select("block", F.col("id").alias("a_id"), "term", F.col("w").alias("wa"))
+    b = shared.select("block", F.col("id").alias("b_id"), "term", F.col("w").alias("wb"))
+    return pairs.join(a, ["block", "a_id"]).join(b, ["block", "b_id", "term"]).groupBy("block", "a_id", "b_id").agg(F.sum(F.col("wa") * F.col("wb")).alias(name))
+
+
 def block_pairs(items: DataFrame) -> DataFrame:
     """(block, a_id, b_id) of all pairs of a block; only for a threshold of 0, where pairs without a shared term count too."""
     a, b = items.select("block", F.col("id").alias("a_id")), items.select("block", F.col("id").alias("b_id"))
