@@ -45,6 +45,7 @@ ROWS = 8  # minima in a band, of 8 bits each: one 64-bit word
 BANDS = BINS // ROWS
 SLACK = 0.075
 BLOCK = 256
+SIEVE = 1 << 26  # bits: 8 MB
 _U = np.uint64
 _MIX = [_U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)]
 
@@ -216,9 +217,43 @@ def _blocks(threshold: float):
     return run
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    shingler = Shingler()
-    for batch in steps(batches, "text"):
+def _places(ids: np.ndarray) -> np.ndarray:
+    """The two bits of each id in a sieve of SIEVE bits."""
+    h = _mix(ids.astype(np.int64).view(np.uint64) ^ _MIX[0])
+    return np.stack([h & _U(SIEVE - 1), h >> _U(32) & _U(SIEVE - 1)], axis=1)
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at = _places(batch.column(0).to_numpy(zero_copy_only=False)).ravel()
+        yield pa.RecordBatch.from_arrays([pa.array((at >> _U(6)).astype(np.int32)), pa.array((_U(1) << (at & _U(63))).view(np.int64))], names=["word", "bits"])
+
+
+def _sieve(ids: DataFrame):
+    """A Bloom filter of the ids, of SIEVE bits whatever their number, broadcast.
+
+    It spares texts that no pair needs a shuffle. One that passes by chance only costs
+    time: the joins that follow are exact.
+    """
+    rows = ids.mapInArrow(_marks, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(SIEVE // 64, np.int64)
+    words[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
+    return ids.sparkSession.sparkContext.broadcast(words.view(np.uint64))
+
+
+def _sets(sieve):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for batch in batches:
+            at = _places(batch.column(0).fill_null(0).to_numpy(zero_copy_only=False))
+            passes = ((sieve.value[at >> _U(6)] >> (at & _U(63))) & _U(1)).all(axis=1)
+            yield from _shingled(batch.filter(pa.array(passes)), shingler)
+
+    return run
+
+
+def _shingled(whole: pa.RecordBatch, shingler: Shingler) -> Iterator[pa.RecordBatch]:
+    for batch in steps([whole], "text"):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingler(t).tobytes() for t in raw(batch.column(1))], pa.binary())], names=["id", "shingles"])
 
 
@@ -241,7 +276,8 @@ def _confirmed(percent: int):
 def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the threshold."""
     need = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = cut(docs.join(need, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_sets, "id long, shingles binary"))
+    made = docs.where("id is not null").mapInArrow(_sets(_sieve(need)), "id long, shingles binary")
+    sets = cut(made.groupBy("id").agg(F.first("shingles").alias("shingles")))
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
     return both.select("a", "b", "sa", "sb").mapInArrow(_confirmed(percent), "a long, b long")
 
