@@ -173,3 +173,19 @@ def test_plan_has_a_group_limit_and_no_product(spark):
     plan = pairs.candidates(feature_rows(spark, ["a b", "a c"]))._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert plan.count("ArrowEvalPython") <= 2
+
+
+def test_rare_terms_find_every_pair_above_the_threshold(spark):
+    import random
+
+    from twinleaf.functions.ngrams import word_grams
+    from twinleaf.operators import similarity
+
+    rng = random.Random(2)
+    rows = [([f"b{i % 2}"], f"{i:03}", " ".join(rng.choices([f"w{int(40 * rng.random() ** 2)}" for _ in range(30)], k=6))) for i in range(60)]
+    weighted = similarity.weights(spark.createDataFrame(rows, "block array<string>, id string, text string"), word_grams(F.col("text"))).cache()
+    for least in (0.05, 0.1, 0.2):
+        want = {(r.a_id, r.b_id): r.sim for r in similarity.cosine_pairs(weighted).collect() if r.sim >= least + 1e-6}
+        found = similarity.likely_pairs(weighted, least)
+        got = {(r.a_id, r.b_id): r.sim for r in similarity.cosines_of(found, weighted, "sim").collect()}
+        assert want.keys() <= got.keys() and all(abs(got[k] - v) < 1e-9 for k, v in want.items()) and want
