@@ -22,15 +22,18 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinleaf.llm.common import plain, steps
+from twinleaf.llm.common import bound_batches, plain, steps
 
 #: Most words of a lexicon: it bounds the broadcast (some MB).
-LEXICON_WORDS = 65_536
-#: Words whose ids a worker remembers; beyond that it starts anew.
-REMEMBERED = 250_000
+LEXICON_WORDS = 131_072
+#: Words whose ids a worker remembers, over all tasks that it runs; beyond that it starts anew.
+REMEMBERED = 700_000
+#: Words that a task counts before it passes the counts on.
+COUNTED = 300_000
 #: White space as Unicode has it (Python's own class has more).
 _S = r"\t-\r \x85\xa0  -     　"
 _SPLIT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{N}}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
@@ -199,6 +202,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.known: dict[str, tuple[int, ...]] = {}
+        self.names = [str(i) for i in range(len(vocabulary.tokens))]
         self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(vocabulary.special, key=len, reverse=True)) + ")") if vocabulary.special else None
 
     def words(self, text: str) -> list[str]:
@@ -236,6 +240,17 @@ class Encoder:
         return b"".join(map(self.vocabulary.tokens.__getitem__, ids)).decode("utf-8", "replace")
 
 
+_encoder: tuple[tuple, Encoder] | None = None  # a worker process's own, for the vocabulary and lexicon that it used last
+
+
+def _held(path: str, data: bytes) -> Encoder:
+    global _encoder
+    key = path, xxhash.xxh3_128_digest(data)
+    if _encoder is None or _encoder[0] != key:
+        _encoder = key, Encoder(Vocabulary(path), Lexicon(data))
+    return _encoder[1]
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter[str] = Counter()
 
@@ -247,7 +262,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in steps(batches, "text"):
         for text in plain(batch.column(0)):
             counts.update(_SPLIT.findall(text))
-            if len(counts) > REMEMBERED:
+            if len(counts) > COUNTED:
                 yield flush()
     yield flush()
 
@@ -261,8 +276,8 @@ def frequent_words(docs: DataFrame, text_col: str = "text", most: int = LEXICON_
 
 def _digests(path: str, lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Vocabulary(path), Lexicon(lexicon.value))
-        names = [str(i) for i in range(len(encoder.vocabulary.tokens))]
+        encoder = _held(path, lexicon.value)
+        names = encoder.names
         for batch in steps(batches, "text"):
             n, ids_sha, text_sha = [], [], []
             for ids in encoder.encode(plain(batch.column(1))):
@@ -276,7 +291,7 @@ def _digests(path: str, lexicon):
 
 def _encoded(path: str, lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Vocabulary(path), Lexicon(lexicon.value))
+        encoder = _held(path, lexicon.value)
         for batch in steps(batches, "text"):
             texts, out, same = plain(batch.column(1)), [], []
             for text, ids in zip(texts, encoder.encode(texts), strict=True):
@@ -288,6 +303,7 @@ def _encoded(path: str, lexicon):
 
 
 def _lexicon(docs: DataFrame, path: str, text_col: str, words: list[str] | None):
+    bound_batches(docs.sparkSession)
     words = frequent_words(docs, text_col) if words is None else words
     return docs.sparkSession.sparkContext.broadcast(compile_lexicon((w.encode() for w in words), Vocabulary(path)))
 

@@ -11,12 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one vectorised step takes at most (a longer text is a step of its own).
 STEP_BYTES = 4 << 20
+#: Bytes of an Arrow batch between the JVM and Python.
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let an Arrow batch hold 8 MB at most: rows are texts of any length, and a batch is held by the JVM and by Python at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def quiet_threads() -> None:
     """One thread per Python worker: Spark already runs one worker per core."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinleaf.llm.common import raw, steps
+from twinleaf.llm.common import bound_batches, raw, steps
 
 WINDOW, RUN, POINTS = 64, 64, 16
 LEVELS = 1024  # entropies are kept as whole numbers, 6 bits of entropy being LEVELS - 1
@@ -232,6 +232,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark = docs.sparkSession
     ids = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("i"))
+    bound_batches(spark)
     parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = sorted(set(ids.select(F.percentile_approx("i", [k / parts for k in range(1, parts)], 100 * parts)).first()[0] or [])) if parts > 1 else []
     ranks = spark.sparkContext.broadcast(entropy_ranks(docs, text_col))

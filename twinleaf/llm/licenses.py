@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinleaf.llm.common import raw, steps
+from twinleaf.llm.common import bound_batches, raw, steps
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")  # of UTF-8 with A-Z lower-cased: bytes from 0x80 are word characters
 # Fixed phrases and their labels.
@@ -162,6 +162,7 @@ def license_labels(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ids give a row each; other columns are ignored; an empty table gives an empty
     result.
     """
+    bound_batches(docs.sparkSession)
     templates = TEMPLATES if templates is None else templates
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     vocabulary = frozenset(w for _, t in templates for w in words_of(t.encode()))

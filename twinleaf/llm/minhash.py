@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinleaf.llm.common import raw, steps
+from twinleaf.llm.common import bound_batches, raw, steps
 from twinleaf.operators.components import connected_components
 from twinleaf.storage import cut
 
@@ -64,7 +64,7 @@ _SEEDS = _mix(np.arange(1, WORDS + 2, dtype=np.uint64) * _MIX[1])
 class Shingler:
     """Sorted distinct 64-bit shingle hashes of a text. Word hashes are kept in a bounded dictionary."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 200_000):
         self.seen: dict[bytes, int] = {}
         self.limit = limit
 
@@ -298,6 +298,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     if percent < 80:
         raise ValueError("percent must be at least 80")
+    bound_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     made = cut(docs.mapInArrow(_describe, "id long, n long, digest binary, sig binary"))
     classes = made.where("digest is not null and id is not null").groupBy("digest", "n", "sig").agg(F.min("id").alias("rep"))

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from twinleaf.llm.common import bound_batches
+
 
 BLOCK, PERIOD = 32, 1000
 #: Rows of a hash bucket of a source: within one, rows are numbered in one task.
@@ -116,6 +118,7 @@ def _placed(plan, numbers):
 def _ordered(df: DataFrame, id_col: str, source_col: str, weights: dict[str, float], block: int) -> DataFrame:
     """df with _mix_block, _mix_slot and _mix_position."""
     spark = df.sparkSession
+    bound_batches(spark)
     marked = df.withColumn("_mix_source", F.coalesce(F.col(source_col).cast("string"), F.lit("\x00"))).withColumn("_mix_hash", F.xxhash64(F.col(id_col).cast("string")))
     # a source's rows are numbered by hash bucket, so that one that holds a third of all rows is still many tasks' work
     rows = marked.groupBy("_mix_source").count().limit(MAX_SOURCES + 1).collect()

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinleaf.llm.common import raw, steps
+from twinleaf.llm.common import bound_batches, raw, steps
 
 #: Labelled texts that take part, of each label (in hash order of the id).
 PER_LABEL = 2000
@@ -43,7 +43,7 @@ _CLASS = _classes()
 class Features:
     """Term counts of texts; word hashes are kept in a bounded dictionary."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 200_000):
         self.seen: dict[bytes, int] = {}
         self.limit = limit
 
@@ -146,6 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     Labels other than 0 and 1, null ids and ids without a text are ignored; an id
     with both labels counts as 1.
     """
+    bound_batches(docs.sparkSession)
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(label_id).isNotNull()).where(F.crc32(F.col(label_id).cast("string")) % 3 != 1)
     usable = usable.groupBy(F.col(label_id).alias("id")).agg(F.max(label_col).alias("label"))
     total, good = usable.agg(F.count("*"), F.sum("label")).first()

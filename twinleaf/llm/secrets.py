@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinleaf.llm.common import plain, steps
+from twinleaf.llm.common import bound_batches, plain, steps
 
 # Fixed patterns: (kind, pattern, group whose length counts, least length).
 KINDS = ["assign", "access", "hex"]
@@ -229,6 +229,7 @@ def _scanned(scanner):
 
 def _learnt(docs: DataFrame):
     """The automata, inferred once on the driver from the fixed examples: some hundred states."""
+    bound_batches(docs.sparkSession)
     return docs.sparkSession.sparkContext.broadcast(Scanner())
 
 

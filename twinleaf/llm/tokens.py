@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinleaf.llm.common import quiet_threads, raw, steps
+from twinleaf.llm.common import bound_batches, quiet_threads, raw, steps
 
 #: Bytes that one call of the library takes.
 CALL_BYTES = 1 << 20
@@ -69,6 +69,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     an empty table gives an empty result. The tokenizer must drop white space (see
     _counter); its path is read on every executor.
     """
+    bound_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema["id"].dataType.simpleString()
     out = docs.mapInArrow(_counter(tokenizer_path, limit), f"id {kind}, n_bytes long, n_tokens long, over_limit boolean")

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from twinleaf.llm.common import bound_batches
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (verdict, host, path prefix); the longest that fits decides.
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -179,6 +181,7 @@ def url_verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     is. Repeated rows and null ids give a row each; other columns are ignored; an
     empty table gives an empty result (the trees then rest on `labelled` alone).
     """
+    bound_batches(pages.sparkSession)
     rules = RULES if rules is None else rules
     urls = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"))
     model = pages.sparkSession.sparkContext.broadcast(fit(urls, rules, seed_labels() if labelled is None else labelled))
