@@ -22,16 +22,15 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinleaf.llm.common import bound_batches, plain, steps
+from twinleaf.llm.common import bound_batches, frugal, plain, steps
 
 #: Most words of a lexicon: it bounds the broadcast (some MB).
 LEXICON_WORDS = 131_072
-#: Words whose ids a worker remembers, over all tasks that it runs; beyond that it starts anew.
-REMEMBERED = 700_000
+#: Words whose ids a task remembers; beyond that it starts anew.
+REMEMBERED = 400_000
 #: Words that a task counts before it passes the counts on.
 COUNTED = 300_000
 #: White space as Unicode has it (Python's own class has more).
@@ -240,17 +239,7 @@ class Encoder:
         return b"".join(map(self.vocabulary.tokens.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_encoder: tuple[tuple, Encoder] | None = None  # a worker process's own, for the vocabulary and lexicon that it used last
-
-
-def _held(path: str, data: bytes) -> Encoder:
-    global _encoder
-    key = path, xxhash.xxh3_128_digest(data)
-    if _encoder is None or _encoder[0] != key:
-        _encoder = key, Encoder(Vocabulary(path), Lexicon(data))
-    return _encoder[1]
-
-
+@frugal
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter[str] = Counter()
 
@@ -275,8 +264,9 @@ def frequent_words(docs: DataFrame, text_col: str = "text", most: int = LEXICON_
 
 
 def _digests(path: str, lexicon):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _held(path, lexicon.value)
+        encoder = Encoder(Vocabulary(path), Lexicon(lexicon.value))
         names = encoder.names
         for batch in steps(batches, "text"):
             n, ids_sha, text_sha = [], [], []
@@ -290,8 +280,9 @@ def _digests(path: str, lexicon):
 
 
 def _encoded(path: str, lexicon):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _held(path, lexicon.value)
+        encoder = Encoder(Vocabulary(path), Lexicon(lexicon.value))
         for batch in steps(batches, "text"):
             texts, out, same = plain(batch.column(1)), [], []
             for text, ids in zip(texts, encoder.encode(texts), strict=True):

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinleaf.llm.common import bound_batches, raw, steps
+from twinleaf.llm.common import bound_batches, frugal, raw, steps
 
 WINDOW, RUN, POINTS = 64, 64, 16
 LEVELS = 1024  # entropies are kept as whole numbers, 6 bits of entropy being LEVELS - 1
@@ -156,6 +156,7 @@ def shown(x: bytes) -> str:
     return base64.b64encode(x).decode()
 
 
+@frugal
 def _histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(LEVELS, np.int64)
     for batch in steps(batches, "text", STEP):
@@ -190,6 +191,7 @@ def entropy_ranks(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 def _compared(ranks):
     """Rows (part, own, id, text) sorted by part and id: each is compared with the one after it; the last of a part (own false) is only that."""
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Fingerprinter(ranks.value)
         waiting = None  # part, id, text, digest

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinleaf.llm.common import bound_batches, raw, steps
+from twinleaf.llm.common import bound_batches, frugal, raw, steps
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")  # of UTF-8 with A-Z lower-cased: bytes from 0x80 are word characters
 # Fixed phrases and their labels.
@@ -125,6 +125,7 @@ def phrase_places(words: list[bytes]) -> list[tuple[int, str]]:
 
 
 def _frequencies(vocabulary: frozenset[bytes]):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
         for batch in steps(batches, "text"):
@@ -136,6 +137,7 @@ def _frequencies(vocabulary: frozenset[bytes]):
 
 
 def _scanned(join):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
             cols: list[list] = [[] for _ in range(7)]

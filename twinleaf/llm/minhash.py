@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinleaf.llm.common import bound_batches, raw, steps
+from twinleaf.llm.common import bound_batches, frugal, raw, steps
 from twinleaf.operators.components import connected_components
 from twinleaf.storage import cut
 
@@ -64,7 +64,7 @@ _SEEDS = _mix(np.arange(1, WORDS + 2, dtype=np.uint64) * _MIX[1])
 class Shingler:
     """Sorted distinct 64-bit shingle hashes of a text. Word hashes are kept in a bounded dictionary."""
 
-    def __init__(self, limit: int = 200_000):
+    def __init__(self, limit: int = 100_000):
         self.seen: dict[bytes, int] = {}
         self.limit = limit
 
@@ -141,6 +141,7 @@ def planes(sigs: np.ndarray) -> np.ndarray:
     return np.packbits(bits.transpose(0, 2, 1), axis=2).reshape(n, -1).view(np.uint64)
 
 
+@frugal
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingler = Shingler()
     for batch in steps(batches, "text"):
@@ -153,6 +154,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())], names=["id", "n", "digest", "sig"])
 
 
+@frugal
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shift = (np.arange(BANDS, dtype=np.uint64) + _U(1)) * _MIX[0]
     for batch in batches:
@@ -165,10 +167,11 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _estimated(threshold: float):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in range(0, batch.num_rows, 2048):
-                part = batch.slice(b, 2048)
+            for b in range(0, batch.num_rows, 512):
+                part = batch.slice(b, 512)
                 x, y = (planes(np.frombuffer(b"".join(part.column(i).to_pylist()), np.uint8).reshape(-1, BINS)) for i in (2, 3))
                 likeness = estimate(y, x)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(likeness)], names=["a", "b", "likeness"]).filter(pa.array(likeness >= threshold))
@@ -188,6 +191,7 @@ def _blocks(threshold: float):
                 if min(hubs[i] & hubs[j]) == hub:  # a pair leaves one group only
                     yield min(ids[i], ids[j]), max(ids[i], ids[j])
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, out = None, [], []
 
@@ -223,6 +227,7 @@ def _places(ids: np.ndarray) -> np.ndarray:
     return np.stack([h & _U(SIEVE - 1), h >> _U(32) & _U(SIEVE - 1)], axis=1)
 
 
+@frugal
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at = _places(batch.column(0).to_numpy(zero_copy_only=False)).ravel()
@@ -242,6 +247,7 @@ def _sieve(ids: DataFrame):
 
 
 def _sets(sieve):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
@@ -258,6 +264,7 @@ def _shingled(whole: pa.RecordBatch, shingler: Shingler) -> Iterator[pa.RecordBa
 
 
 def _confirmed(percent: int):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []

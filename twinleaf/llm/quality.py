@@ -19,11 +19,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinleaf.llm.common import bound_batches, raw, steps
+from twinleaf.llm.common import bound_batches, frugal, raw, steps
 
 #: Labelled texts that take part, of each label (in hash order of the id).
 PER_LABEL = 2000
-DIMENSIONS, K, POWER, BLOCK = 64, 15, 8, 512
+DIMENSIONS, K, POWER, BLOCK = 64, 15, 8, 128
 CLASSES, HASHED, EXTRA = 24, 1024, 4
 WIDTH = CLASSES**2 + HASHED + EXTRA
 
@@ -43,7 +43,7 @@ _CLASS = _classes()
 class Features:
     """Term counts of texts; word hashes are kept in a bounded dictionary."""
 
-    def __init__(self, limit: int = 200_000):
+    def __init__(self, limit: int = 100_000):
         self.seen: dict[bytes, int] = {}
         self.limit = limit
 
@@ -107,6 +107,7 @@ class Model:
         return (((weights * self.labels[near]).sum(1) + 1e-3 * self.prior) / (weights.sum(1) + 1e-3)).clip(0, 1)
 
 
+@frugal
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     features = Features()
     for batch in steps(batches, "text"):
@@ -122,6 +123,7 @@ def _scores(model: Model, texts: list[bytes], features: Features) -> np.ndarray:
 
 
 def _scored(model):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in steps(batches, "text"):
@@ -131,6 +133,7 @@ def _scored(model):
 
 
 def _accepted(model, text_col: str):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in steps(batches, text_col):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinleaf.llm.common import bound_batches, plain, steps
+from twinleaf.llm.common import bound_batches, frugal, plain, steps
 
 # Fixed patterns: (kind, pattern, group whose length counts, least length).
 KINDS = ["assign", "access", "hex"]
@@ -212,6 +212,7 @@ def written(spans: list[tuple[int, int, int]]) -> str:
 
 
 def _scanned(scanner):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = scanner.value
         for batch in steps(batches, "text"):
@@ -246,6 +247,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _masked(scanner, text_col: str, mask: str):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = scanner.value
         for batch in steps(batches, text_col):

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinleaf.llm.common import bound_batches, quiet_threads, raw, steps
+from twinleaf.llm.common import bound_batches, frugal, quiet_threads, raw, steps
 
 #: Bytes that one call of the library takes.
 CALL_BYTES = 1 << 20
@@ -25,6 +25,7 @@ def _counter(path: str, limit: int):
     called, in batches of about equal bytes, for the distinct pieces not met before.
     """
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quiet_threads()
         from tokenizers import Tokenizer
