@@ -326,6 +326,25 @@ def test_automata_generalise():
     assert not any(scan.margin(x) >= secrets.MARGIN for x in secrets.labelled_ordinary())
 
 
+def test_secrets_are_found_wherever_a_format_begins(spark):
+    r = random.Random(321)
+    fresh = ["".join(p if isinstance(p, str) else "".join(r.choices(p[0], k=r.randint(p[1], p[2]))) for p in parts) for name, parts in secrets.FORMATS.items() for _ in range(8)]
+    letters = "".join(c for c in secrets._ALNUM if c not in secrets._DIGIT)
+    fresh += ["glpat-" + "".join(r.choices(letters + "_-", k=20)) for _ in range(8)] + ["sk_live_" + "".join(r.choices(letters, k=24)) for _ in range(8)]
+    scan = secrets.Scanner()
+    accepted = [x for x in fresh if scan.margin(x) >= secrets.MARGIN]  # by the automata, when it stands alone
+    assert len(accepted) > 0.95 * len(fresh)
+    long = lambda n: "".join(r.choices(secrets._ALNUM + "+/", k=n))
+    around = [("", ""), ("key=", " x"), ("GH=", ""), ("auth=", "&a=1"), ("https://x/js?key=", ""), ("https://x.example.com/a/", "/repo.git"), ("name_a.b-", "."), ("é=", "é"), (long(700) + "/", ""), (long(700), "/" + long(700)), ("deadbeefdeadbeef0/", "/x")]
+    rows = [(i, b + t + e, len(b), len(b) + len(t)) for i, (t, (b, e)) in enumerate((t, x) for t in accepted for x in around)]
+    got = table(secrets.secret_spans(spark.createDataFrame(rows, "doc_id int, text string, b int, e int")))
+    for i, text, b, e in rows:
+        spans = [tuple(map(int, x.split(":")[1:])) for x in got[i].spans.split(",") if x]
+        assert any(x <= b and e <= y for x, y in spans), (text, b, e, spans)
+    assert not any(scan.more(x, []) for x in secrets.labelled_ordinary())
+    assert [x[:2] for x in scan.more("AIza" * 50_000, [])] == [(0, 200_000)]
+
+
 LICENSED = ["Released under the MIT License. Apache License, Version 2.0 under the mit license", "CC BY-NC 4.0", "This work is licensed under the GNU General Public License, version 3.", "under the mit\nlicense", "", None, prose(100, 1), "licensed under the apache license version two", "This work is licensed under a Creative Commons\nAttribution 4.0 International License"]
 
 

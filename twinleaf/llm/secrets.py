@@ -2,11 +2,15 @@
 
 For each known credential format an automaton is inferred (ALERGIA): a prefix tree of
 labelled examples, in which states whose outgoing frequencies agree within Hoeffding's
-bound are merged, recursively. Another is inferred from labelled ordinary tokens. Every
-run of credential characters is then scored by its likelihood under each format; it is
-a secret if the best format beats the ordinary tokens' automaton by MARGIN nats.
+bound are merged, recursively. Another is inferred from labelled ordinary tokens.
 Characters after a literal prefix are read by class (lower, upper, digit, hex letter,
 each mark), with the class's size in the likelihood.
+
+A format is read from every place where its literal prefix stands, whatever is before
+it, and may end at each place where its automaton can. It is a secret if at one of them,
+from LEAST characters on, the format beats the ordinary tokens' automaton by MARGIN nats;
+it then reaches to the last of them, so that no end of a credential stays. Formats
+without a literal prefix are runs of hex digits, which the fixed pattern takes whole.
 """
 
 from __future__ import annotations
@@ -28,8 +32,7 @@ KINDS = ["assign", "access", "hex"]
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")  # a maximal run from its first character on, as `[0-9a-f]+` with 16 characters or more
-CANDIDATE = re.compile(r"(?=[A-Za-z+/_.=-]*[0-9])(?=[0-9+/_.=-]*[A-Za-z])[A-Za-z0-9+/_.=-]{16,512}(?![A-Za-z0-9+/_.=-])")
-EXAMPLES, SEED, ALPHA, PREFIX, MARGIN = 240, 7, 0.05, 4, 10.0
+EXAMPLES, SEED, ALPHA, PREFIX, MARGIN, LEAST = 240, 7, 0.05, 4, 10.0, 16
 
 _LOWER, _UPPER, _DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 _ALNUM = _LOWER + _UPPER + _DIGIT
@@ -66,12 +69,12 @@ def labelled_ordinary() -> list[str]:
     return [rng.choice(makers)() for _ in range(12 * EXAMPLES)]
 
 
+_CLASS = {c: "d" if c in _DIGIT else "h" if c in "abcdef" else "l" if c in _LOWER else "U" for c in _ALNUM}
+
+
 def symbols(token: str, prefix: int = PREFIX) -> list[str]:
     """The token as an automaton reads it: literal characters first, classes after that."""
-    out = list(token[:prefix])
-    for c in token[prefix:]:
-        out.append("d" if c in _DIGIT else "h" if c in "abcdef" else "l" if c in _LOWER else "U" if c in _UPPER else c)
-    return out
+    return [*token[:prefix], *(_CLASS.get(c, c) for c in token[prefix:])]
 
 
 _SIZE = {"d": 10, "h": 6, "l": 20, "U": 26}
@@ -157,16 +160,25 @@ class Automaton:
         self.next = [{s: [number[to], n] for s, (to, n) in self.next[state].items()} for state in red]
         self.ends, self.seen = [self.ends[x] for x in red], [self.seen[x] for x in red]
 
+    def step(self, state: int, k: int, c: str) -> tuple[int, float] | None:
+        """The state after the k-th character, and what it adds to ln P; None if there is no such path."""
+        s = c if k < self.prefix else _CLASS.get(c, c)
+        step = self.next[state].get(s)
+        return step and (step[0], math.log(step[1] / self.seen[state]) - (math.log(_SIZE.get(s, 1)) if k >= self.prefix else 0))
+
+    def end(self, state: int) -> float:
+        """What ending here adds to ln P."""
+        return math.log(self.ends[state] / self.seen[state]) if self.ends[state] else -math.inf
+
     def likelihood(self, token: str) -> float:
         """ln P(token); -inf if the automaton has no such path."""
         state, total = 0, 0.0
-        for k, s in enumerate(symbols(token, self.prefix)):
-            step = self.next[state].get(s)
+        for k, c in enumerate(token):
+            step = self.step(state, k, c)
             if not step:
                 return -math.inf
-            total += math.log(step[1] / self.seen[state]) - (math.log(_SIZE.get(s, 1)) if k >= self.prefix else 0)
-            state = step[0]
-        return total + math.log(self.ends[state] / self.seen[state]) if self.ends[state] else -math.inf
+            state, total = step[0], total + step[1]
+        return total + self.end(state)
 
 
 class Scanner:
@@ -176,6 +188,7 @@ class Scanner:
         # formats without a literal prefix are read by class from the start
         self.formats = {name: Automaton(tokens, PREFIX if isinstance(FORMATS[name][0], str) else 0) for name, tokens in labelled_credentials().items()}
         self.ordinary = Automaton(labelled_ordinary(), 0)
+        self.begins = [(parts[0][:PREFIX], self.formats[name]) for name, parts in FORMATS.items() if isinstance(parts[0], str)]
 
     def margin(self, token: str) -> float:
         """How much better the best format explains the token than ordinary tokens do, in nats."""
@@ -190,11 +203,45 @@ class Scanner:
         found += [(m.start(), m.end(), 1) for m in ACCESS.finditer(text)]
         return found + [(m.start(), m.end(), 2) for m in HEX.finditer(text)]
 
+    def reach(self, format_: Automaton, text: str, begin: int, known: dict[int, int]) -> tuple[int, dict[int, int]]:
+        """Where the credential that begins here ends (0: there is none), and the state after each place read.
+
+        known is such states of an earlier credential: once both are in one state, this one lies in that one.
+        """
+        state, total, other, ordinary = 0, 0.0, 0, 0.0
+        last, found, passed = 0, False, {}
+        for k in range(len(text) - begin):
+            at, c = begin + k, text[begin + k]
+            step = format_.step(state, k, c)
+            if not step:
+                break
+            state, total = step[0], total + step[1]
+            if known.get(at) == state:
+                return 0, passed
+            passed[at] = state
+            step = self.ordinary.step(other, k, c) if ordinary > -math.inf else None
+            other, ordinary = (step[0], ordinary + step[1]) if step else (0, -math.inf)
+            if format_.ends[state]:
+                last = at + 1
+                if not found and k + 1 >= LEAST:
+                    found = total + format_.end(state) - max(ordinary + self.ordinary.end(other), -math.log(64) * (k + 1)) >= MARGIN
+        return last if found else 0, passed
+
     def more(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        out = []
-        for m in CANDIDATE.finditer(text):
-            if not any(b < m.end() and m.start() < e for b, e, _ in base) and self.margin(m[0].strip(".=-")) >= MARGIN:
-                out.append((m.start(), m.end(), 3))
+        found = []
+        for literal, format_ in self.begins:
+            known: dict[int, int] = {}
+            at = text.find(literal)
+            while at >= 0:
+                end, passed = self.reach(format_, text, at, known)
+                if end:
+                    found.append((at, end, 3))
+                    known = passed
+                at = text.find(literal, at + 1)
+        out: list[tuple[int, int, int]] = []
+        for b, e, k in sorted(found, key=lambda x: (x[0], -x[1])):  # one that lies in another, or in a fixed pattern's, says nothing new
+            if not (out and e <= out[-1][1]) and not any(x <= b and e <= y for x, y, _ in base):
+                out.append((b, e, k))
         return out
 
     def __call__(self, text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
