@@ -373,6 +373,21 @@ def test_license_join_misses_nothing():
         assert set(join.matches(block)) == want
 
 
+def test_license_scan_keeps_every_match(spark):
+    text = {label: t for label, t in licenses.TEMPLATES}
+    gpl, bsd, mit = text["gpl"], text["bsd"].replace("binary", "compiled"), text["mit"].replace("charge", "cost")
+    rows = [(0, f"{gpl} {bsd} {mit}"), (1, f"{gpl}\n{bsd[:40]}\n{bsd[40:]} {mit}"), (2, text["gpl-3"] + " " + bsd), (3, text["cc-by"] + " " + mit), (4, text["gpl-2"] + " or 3 " + bsd)]
+    got = table(licenses.license_labels(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert [got[i].labels for i in range(5)] == ["bsd,gpl,mit", "bsd,gpl,mit", "bsd,gpl-3", "cc-by,mit", "bsd,gpl-2,gpl-3"]
+    r = random.Random(8)
+    join = licenses.Join(licenses.TEMPLATES, {})
+    for _ in range(300):
+        block = set().union(*(r.sample(sorted(t), r.randint(3 * len(t) // 4, len(t))) for t in r.sample(join.sets, 3)))
+        reached = {n: len(x & block) / len(x) for n, x in enumerate(join.sets) if len(x & block) >= join.need[n]}
+        rival = lambda n: max((c for m, c in reached.items() for f in licenses.FAMILIES if {join.labels[n], join.labels[m]} <= f), default=0)
+        assert join.scan(b" ".join(block)) == ({join.labels[n] for n, c in reached.items() if c >= rival(n)}, max(reached.values(), default=0.0))
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as c
 

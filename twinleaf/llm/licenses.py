@@ -6,7 +6,9 @@ document frequency over the whole corpus, rarest first; a block that reaches the
 threshold must hold one of the template's first |T| - ceil(THRESHOLD * |T|) + 1 words
 (prefix), at least ceil(THRESHOLD * |T|) of its own (length), and from a shared prefix
 word on enough words must be left on both sides (position). What passes is counted in
-full, so no match is missed.
+full, so no match is missed. Every match counts, but for one: versions of a license
+(FAMILIES) share most of their words, so in a block a version yields to one of its
+family of which the block holds more.
 """
 
 from __future__ import annotations
@@ -44,6 +46,9 @@ TEMPLATES = [
     ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4.0 international license"),
     ("all-rights-reserved", "copyright all rights reserved no part of this may be reproduced without permission"),
 ]
+#: Labels of which one template reaches the threshold of another.
+FAMILIES = [{"gpl-2", "gpl-3"}, {"gpl", "lgpl"}, {"cc-by", "cc-by-sa"}]
+_FAMILY = {label: k for k, labels in enumerate(FAMILIES) for label in labels}
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -97,9 +102,12 @@ class Join:
             lines = [set(words_of(x)) for x in paragraph.split(b"\n")]
             for block in lines + ([set().union(*lines)] if len(lines) > 1 else []):
                 found = list(self.matches(block))
-                best = max((c for _, c in found), default=0.0)
-                labels.update(self.labels[n] for n, c in found if c == best)  # versions of a license share most words
-                score = max(score, best)
+                best: dict[int | str, float] = {}  # by family; a label without one is its own
+                for n, c in found:
+                    family = _FAMILY.get(self.labels[n], self.labels[n])
+                    best[family] = max(best.get(family, 0.0), c)
+                labels.update(self.labels[n] for n, c in found if c == best[_FAMILY.get(self.labels[n], self.labels[n])])
+                score = max([score, *best.values()])
         return labels, score
 
 
@@ -158,8 +166,9 @@ def _scanned(join):
 def license_labels(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] | None = None) -> DataFrame:
     """One row per input row: id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    Base: places of the fixed phrases. labels adds those of templates that some block
-    contains to THRESHOLD; score is 1 with a base phrase, else the greatest containment.
+    Base: places of the fixed phrases. labels adds those of all templates that some block
+    contains to THRESHOLD, without the versions of a license of which that block contains
+    less than of another (FAMILIES); score is 1 with a base phrase, else the greatest containment.
     A null or empty text has no words, no labels and score 0. Repeated rows and null
     ids give a row each; other columns are ignored; an empty table gives an empty
     result.
