@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -224,6 +225,44 @@ def test_mix(spark, docs):
     assert whole.columns == docs.columns and sorted(map(str, whole.collect())) == sorted(map(str, docs.collect()))
 
 
+@pytest.mark.parametrize("given", [[4.0, 2.0, 2.0, 0.5, *[1.0] * 16], [4.0, 2.0, 2.0, 0.5, *[1.0] * 1500], [0.37, 0.123, 1 / 3, 5.0], [1.0, 1000.0]])
+def test_mix_keeps_the_given_weights(given):
+    weights = [Fraction(str(w)) for w in given]
+    n = 12_000  # slots: many periods of the first weights
+    rows = [2 * (int(n * w / sum(weights)) + 3) for w in weights]  # no source runs out before
+    plan = mixing.Plan(rows, mixing.shares(given), 2)
+    at = {}
+    for s, r in enumerate(rows):
+        slot, position = plan.place(s, np.arange(r))
+        assert (slot == [plan.slot(s, k // 2) for k in range(r)]).all()
+        at |= dict(zip(position.tolist(), zip([s] * r, slot.tolist())))
+    assert sorted(at) == list(range(sum(rows)))
+    order = {slot: s for s, slot in at.values()}
+    placed, share = [0] * len(rows), [w / sum(weights) for w in weights]
+    for t in range(n):
+        s = order[t]
+        placed[s] += 1
+        for x in range(len(rows)) if t % 500 == 499 else (0, s):
+            assert abs(placed[x] - share[x] * (t + 1)) < 1, (t, x)
+
+
+def test_mix_of_sources_that_run_out():
+    """Weights of a long period: whenever a source has run out, the others keep to their weights."""
+    weights, blocks = [Fraction("0.37"), Fraction("0.123"), Fraction(1), Fraction(0)], [300, 40, 50, 7]
+    order = sorted((slot, s) for s, places in enumerate(mixing.whole_schedule(blocks, mixing.shares(weights))) for slot in places.tolist())
+    assert [t for t, _ in order] == list(range(397)) and {s for _, s in order[-7:]} == {3}
+    left, start, placed = list(blocks), 0, [0] * 3
+    for t, s in order[:-7]:
+        total = sum(w for w, b in zip(weights, left) if b)
+        placed[s] += 1
+        assert all(abs(placed[x] - weights[x] / total * (t + 1 - start)) < 1 for x in range(3) if left[x])
+        left[s] -= 1
+        if not left[s]:
+            start, placed = t + 1, [0] * 3
+    with pytest.raises(ValueError):
+        mixing.shares([1.0, -1.0])
+
+
 def plain_rules(text):
     t = text or ""
     w = [x for x in re.split("[\x20\x09-\x0d]+", t) if x]

@@ -1,20 +1,26 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-A source's rows, in hash order, are cut into blocks. Slots are filled in periods in
-which a source has as many slots as its weight says (weights become whole numbers that
-add up to about PERIOD), or as many as it has blocks left. Block k of a source with c
+A source's rows, in hash order, are cut into blocks, and weights become the least whole
+numbers in exactly their ratio, which add up to the period. Block k of a source with c
 of a period's n slots is released at floor(k * n / c) and due at ceil((k + 1) * n / c);
 of the released blocks the one with the earliest deadline goes next. So at every slot
-a source is less than one block away from its share. Periods with the same counts have
-the same schedule: there are at most two for each source that runs out, plus one, and
-a row's place follows from its block number alone. Nothing on the driver grows with
-the rows.
+a source is less than one block away from its share by weight.
+
+A short period (PERIOD slots, TURN of one source at most) is repeated. A source with
+fewer blocks left than its slots has these spread over its last period. Periods with
+the same counts have the same schedule: there are at most two for each source that runs
+out, plus one, a row's place follows from its block number alone, and nothing on the
+driver grows with the rows. For other weights all blocks are scheduled in one go, anew
+by the weights of the rest whenever a source runs out: that takes one number for each
+block on the driver and in each task.
 """
 
 from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from fractions import Fraction
+from math import gcd, lcm
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +31,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from twinleaf.llm.common import bound_batches
 
 
-BLOCK, PERIOD = 32, 1000
+BLOCK, PERIOD, TURN = 32, 1000, 16
 #: Rows of a hash bucket of a source: within one, rows are numbered in one task.
 BUCKET_ROWS = 20_000
 MAX_SOURCES = 100_000
@@ -48,10 +54,40 @@ def schedule(counts: list[int]) -> list[tuple[int, int]]:
     return out
 
 
-def shares(weights: list[float], period: int = PERIOD) -> list[int]:
-    """Whole numbers of slots in a period, at least one each."""
-    total = sum(weights)
-    return [max(1, round(w * period / total)) for w in weights]
+def shares(weights: list[float]) -> list[int]:
+    """The least whole numbers in exactly the ratio of the weights, as these are written in decimals."""
+    exact = [Fraction(str(w)) for w in weights]
+    if any(w < 0 for w in exact):
+        raise ValueError("weights can't be negative")
+    whole = [int(w * lcm(*(x.denominator for x in exact))) for w in exact]
+    common = gcd(*whole) or 1
+    return [w // common for w in whole]
+
+
+def whole_schedule(blocks: list[int], slots: list[int]) -> list[np.ndarray]:
+    """The slot of each block of each source, in one run. Sources of weight 0 come when all others are placed."""
+    places = [np.empty(b, np.int64) for b in blocks]
+    done = [0] * len(blocks)
+    start = 0
+    while left := [s for s, b in enumerate(blocks) if done[s] < b]:
+        share = {s: slots[s] for s in left if slots[s]} or dict.fromkeys(left, 1)
+        n = sum(share.values())
+        waiting = [(0, -(-n // c), s, 0) for s, c in share.items()]  # release, deadline, source, block of this run
+        ready: list[tuple[int, int, int]] = []
+        heapq.heapify(waiting)
+        slot = 0
+        while True:
+            while waiting and waiting[0][0] <= slot:
+                heapq.heappush(ready, heapq.heappop(waiting)[1:])
+            _, s, k = heapq.heappop(ready)
+            places[s][done[s]] = start + slot
+            done[s] += 1
+            slot += 1
+            if done[s] == blocks[s]:
+                break
+            heapq.heappush(waiting, ((k + 1) * n // share[s], -(-(k + 2) * n // share[s]), s, k + 1))
+        start += slot
+    return places
 
 
 class Plan:
@@ -60,9 +96,20 @@ class Plan:
     def __init__(self, rows: list[int], slots: list[int], block: int):
         self.rows, self.slots, self.block = rows, slots, block
         blocks = [-(-r // block) for r in rows]
-        # the counts of a period change only where a source runs out
-        turns = sorted({0, *(b // c for b, c in zip(blocks, slots, strict=True)), *(-(-b // c) for b, c in zip(blocks, slots, strict=True))})
+        self.places = None if sum(slots) <= PERIOD and max(slots, default=1) <= TURN and 0 not in slots else whole_schedule(blocks, slots)
         self.spans = []  # (first period, first slot, slots of a period, slot of each source's j-th block)
+        if self.places is None:
+            self._periods(blocks)
+        # a source's last block may be short: what comes after it moves up
+        short = sorted((self.slot(s, b - 1), b * block - r) for s, (b, r) in enumerate(zip(blocks, rows, strict=True)) if b and b * block > r)
+        self.short_at = np.array([x for x, _ in short], np.int64)
+        self.short_by = np.concatenate([[0], np.cumsum([y for _, y in short])]).astype(np.int64)
+        self.firsts = np.array([x[0] for x in self.spans], np.int64)
+
+    def _periods(self, blocks: list[int]) -> None:
+        """The counts of a period change only where a source runs out."""
+        slots = self.slots
+        turns = sorted({0, *(b // c for b, c in zip(blocks, slots, strict=True)), *(-(-b // c) for b, c in zip(blocks, slots, strict=True))})
         slot = 0
         for first, then in zip(turns, turns[1:]):
             counts = [max(0, min(c, b - first * c)) for b, c in zip(blocks, slots, strict=True)]
@@ -72,13 +119,10 @@ class Plan:
             n = sum(counts)
             self.spans.append((first, slot, n, order))
             slot += n * (then - first)
-        # a source's last block may be short: what comes after it moves up
-        short = sorted((self.slot(s, b - 1), b * block - r) for s, (b, r) in enumerate(zip(blocks, rows, strict=True)) if b and b * block > r)
-        self.short_at = np.array([x for x, _ in short], np.int64)
-        self.short_by = np.concatenate([[0], np.cumsum([y for _, y in short])]).astype(np.int64)
-        self.firsts = np.array([x[0] for x in self.spans], np.int64)
 
     def slot(self, source: int, k: int) -> int:
+        if self.places is not None:
+            return int(self.places[source][k])
         period, j = divmod(k, self.slots[source])
         first, start, n, order = self.spans[max(i for i, x in enumerate(self.spans) if x[0] <= period)]
         return start + (period - first) * n + order[source][j]
@@ -86,15 +130,21 @@ class Plan:
     def place(self, source: int, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(slot, position) of a source's rows by their rank in it."""
         k = rank // self.block
+        slot = self._slots(source, k)
+        position = slot * self.block + rank % self.block - self.short_by[np.searchsorted(self.short_at, slot, side="left")]
+        return slot, position
+
+    def _slots(self, source: int, k: np.ndarray) -> np.ndarray:
+        if self.places is not None:
+            return self.places[source][k]
         period, j = k // self.slots[source], k % self.slots[source]
         span = np.searchsorted(self.firsts, period, side="right") - 1
-        slot = np.empty(len(rank), np.int64)
+        slot = np.empty(len(k), np.int64)
         for i in np.unique(span):
             first, start, n, order = self.spans[i]
             m = span == i
             slot[m] = start + (period[m] - first) * n + np.array(order[source], np.int64)[j[m]]
-        position = slot * self.block + rank % self.block - self.short_by[np.searchsorted(self.short_at, slot, side="left")]
-        return slot, position
+        return slot
 
 
 def _placed(plan, numbers):
