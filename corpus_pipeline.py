@@ -27,7 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least doc_id of each group of near-duplicates; rows without an id or without words are in no group and stay."""
+    """The least doc_id of each group of near-duplicates (op1_minhash's similarity of 0.85); rows without an id or without words are in no group and stay."""
     found = near_duplicates(docs)
     gone = found.where("not kept and doc_id is not null").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

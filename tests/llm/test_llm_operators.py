@@ -101,6 +101,17 @@ def test_near_duplicates_in_a_large_group(spark):
     assert 5 < len({x[1] for x in want.values() if x[1] < 1000}) < 350  # both linked and single members
 
 
+@pytest.mark.parametrize("percent", [80, 83, 84, 90])
+def test_near_duplicates_of_short_texts(spark, percent):
+    """Each text of 3 to 14 words with a word more at its end: from 80 on, 4/5 and 5/6 are links."""
+    texts = [(w, " ".join(f"w{w}x{k}x{j}" for j in range(w))) for w in range(3, 15) for k in range(10)]
+    rows = [(2 * i + k, t + " more" * k) for i, (_, t) in enumerate(texts) for k in (0, 1)]
+    got = table(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=percent))
+    for i, (w, _) in enumerate(texts):
+        n = w - 4
+        assert (got[2 * i + 1].component_id == 2 * i) == (n > 0 and 100 * n >= percent * (n + 1)), (w, i)
+
+
 def test_signatures_estimate_the_similarity():
     make = minhash.Shingler()
     errors = []

@@ -141,17 +141,21 @@ def planes(sigs: np.ndarray) -> np.ndarray:
     return np.packbits(bits.transpose(0, 2, 1), axis=2).reshape(n, -1).view(np.uint64)
 
 
-@frugal
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    shingler = Shingler()
-    for batch in steps(batches, "text"):
-        n, digest, sig = [], [], []
-        for text in raw(batch.column(1)):
-            s = shingler(text)
-            n.append(len(s))
-            digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-            sig.append(signature(s).tobytes() if len(s) > WORDS else None)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())], names=["id", "n", "digest", "sig"])
+def _described(percent: int):
+    @frugal
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for batch in steps(batches, "text"):
+            n, digest, sig = [], [], []
+            for text in raw(batch.column(1)):
+                s = shingler(text)
+                n.append(len(s))
+                digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+                # n shingles are most like n + 1 that hold them all: smaller sets than that reach percent with no other and need no signature
+                sig.append(signature(s).tobytes() if len(s) and 100 * len(s) >= percent * (len(s) + 1) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())], names=["id", "n", "digest", "sig"])
+
+    return run
 
 
 @frugal
@@ -307,10 +311,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         raise ValueError("percent must be at least 80")
     bound_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    made = cut(docs.mapInArrow(_describe, "id long, n long, digest binary, sig binary"))
+    made = cut(docs.mapInArrow(_described(percent), "id long, n long, digest binary, sig binary"))
     classes = made.where("digest is not null and id is not null").groupBy("digest", "n", "sig").agg(F.min("id").alias("rep"))
     reps = cut(classes.select("digest", "rep", "sig"))
-    # up to five shingles, no two different sets reach 0.85: those have no signature
     signed = reps.where("sig is not null").select(F.col("rep").alias("id"), "sig")
     threshold = percent / 100 - SLACK
 
