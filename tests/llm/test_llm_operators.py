@@ -182,6 +182,19 @@ def test_trees_learn_the_seed_labels():
     assert np.mean((model.score([r[0] for r in held]) >= 0.5) == [r[1] for r in held]) > 0.95
 
 
+def test_copies_of_a_url_leave_room_for_others(spark, monkeypatch):
+    host = urls.RULES[0][1]
+    seen = []
+    monkeypatch.setattr(urls, "MAX_LABELLED", 30)
+    monkeypatch.setattr(urls, "Trees", lambda u, y: seen.extend(zip(u, y)))
+    rows = [(f"http://{host}/p{i % 20}/{i // 800}",) for i in range(820)] + [(f"http://{host}/hot{i}",) for i in range(3) for _ in range(400)]
+    urls.fit(spark.createDataFrame(rows, "url string"), urls.RULES, [])
+    assert len(seen) == len(set(seen)) == 30
+    seen.clear()
+    urls.fit(spark.createDataFrame([(f"http://{host}/hot{i % 5}",) for i in range(400)], "url string"), urls.RULES, [])
+    assert len(seen) == 5
+
+
 def test_quality_scores(spark, docs, labels):
     got = quality.quality_scores(docs, labels).collect()
     assert len(got) == len(odd_rows())

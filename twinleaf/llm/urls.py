@@ -167,8 +167,8 @@ def _scored(model):
 def fit(urls: DataFrame, rules: list[tuple[str, str, str]], extra: list[tuple[str, int]]) -> Trees:
     """Trees from at most MAX_LABELLED rule-decided distinct URLs of the table (in hash order) and the extra labels."""
     _, verdict = by_rule(*parts(F.col("url")), rules)
-    decided = urls.select("url", verdict.alias("verdict")).where("verdict is not null").orderBy(F.xxhash64("url"), "url").limit(MAX_LABELLED)
-    rows = list(dict.fromkeys((r[0], int(r[1] == "block")) for r in decided.collect())) + extra
+    decided = urls.select("url", verdict.alias("verdict")).where("verdict is not null").distinct().orderBy(F.xxhash64("url"), "url").limit(MAX_LABELLED)
+    rows = [(r[0], int(r[1] == "block")) for r in decided.collect()] + extra
     return Trees([r[0] for r in rows], np.array([r[1] for r in rows], float))
 
 
