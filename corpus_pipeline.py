@@ -18,7 +18,7 @@ from twinleaf.llm.minhash import near_duplicates
 from twinleaf.llm.mixing import mixed
 from twinleaf.llm.quality import accepted
 from twinleaf.llm.secrets import masked
-from twinleaf.storage import shared_dir
+from twinleaf.storage import cut, shared_dir
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,10 +27,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least doc_id of each group of near-duplicates (op1_minhash's similarity of 0.85); rows without an id or without words are in no group and stay."""
-    found = near_duplicates(docs)
-    gone = found.where("not kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The least doc_id of each group of near-duplicates (op1_minhash's similarity of 0.85); rows without an id or without words are in no group and stay.
+
+    Rows are judged one by one: an id's other text stays if nothing like it does, and of rows with one id and text one stays.
+    """
+    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        gone = near_duplicates(docs).where("not kept and doc_id is not null").select("doc_id")
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    # ids repeat, with one text or with several: every row is judged by a number of its own, in the order of the ids
+    order = ["doc_id", F.sha2("text", 256)]
+    rows = docs.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
+    rows = cut(rows.withColumn("_row", F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())))
+    gone = near_duplicates(rows, id_col="_row").where("not kept and _row is not null").select("_row")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -451,6 +451,17 @@ def test_license_scan_keeps_every_match(spark):
         assert join.scan(b" ".join(block)) == ({join.labels[n] for n, c in reached.items() if c >= rival(n)}, max(reached.values(), default=0.0))
 
 
+def test_near_dedup_judges_rows(spark):
+    import corpus_pipeline as c
+
+    a, b, d, e = (prose(60, s) for s in (71, 72, 73, 74))
+    rows = [(5, a), (7, a), (7, b), (3, d), (3, d), (9, e), (9, edited(e, 0.001, 1)), (None, a), (None, a), (4, ""), (4, None), (8, a + " more")]
+    df = spark.createDataFrame([(i, x, "en", "s", 1) for i, x in rows], DOCS).repartition(3)
+    key = lambda x: str(x)
+    got = [(r.doc_id, r.text) for r in c.near_dedup(spark, df, "").collect()]
+    assert sorted(got, key=key) == sorted([(5, a), (7, b), (3, d), (9, e), (None, a), (None, a), (4, ""), (4, None)], key=key)
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as c
 

@@ -288,7 +288,7 @@ def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the threshold."""
     need = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     made = docs.where("id is not null").mapInArrow(_sets(_sieve(need)), "id long, shingles binary")
-    sets = cut(made.groupBy("id").agg(F.first("shingles").alias("shingles")))
+    sets = cut(made.groupBy("id").agg(F.min("shingles").alias("shingles")))
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
     return both.select("a", "b", "sa", "sb").mapInArrow(_confirmed(percent), "a long, b long")
 
@@ -304,7 +304,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     five words make one shingle, the whole sequence. Repeated rows get equal
     results, so an id that occurs twice with one text is kept twice. A row with a
     null id takes part in nothing: component_id is null and kept false. If an id
-    occurs with different texts, one of its sets stands for it in step 4. An empty
+    occurs with different texts, the least of its sets stands for it in steps 2 to 4. An empty
     table gives an empty result. Other columns are ignored.
     """
     if percent < 80:
