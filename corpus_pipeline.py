@@ -9,13 +9,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from twinleaf.llm import queries
 from twinleaf.llm.bpe import encode
 from twinleaf.llm.minhash import near_duplicates
-from twinleaf.llm.mixing import mixed
+from twinleaf.llm.mixing import mix_positions, mixed
 from twinleaf.llm.quality import accepted
 from twinleaf.llm.secrets import masked
 from twinleaf.storage import cut, shared_dir
@@ -53,21 +53,27 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids, round_trip: whole texts encoded, and decoded again to compare."""
-    return encode(docs, queries.tokenizer("byte_bpe_50k.json"))
+    """doc_id, n_tokens, ids, round_trip, mix_position: whole texts encoded, and decoded again to compare; the place of each in the mix.
+
+    Files don't keep an order, so the place is worked out again, and goes with the row.
+    """
+    same = lambda order: F.row_number().over(Window.partitionBy("doc_id").orderBy(order))  # noqa: E731 (rows with one id have any order among themselves)
+    places = mix_positions(docs, queries.TARGET_WEIGHTS).select(F.col("doc_id").alias("_id"), F.col("position").alias("mix_position"), same("position").alias("_same"))
+    coded = encode(docs, queries.tokenizer("byte_bpe_50k.json")).withColumn("_n", same("n_tokens"))
+    return coded.join(places, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("_same"))).drop("_id", "_same", "_n")
 
 
 STAGES = [("quality_classifier", quality), ("near_dedup", near_dedup), ("secret_scan", secrets), ("mixing", mix), ("bpe_encoding", tokens)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over the documents table; each result is written to the shared folder and read again."""
+    """The stages over the documents table; each result is written to the shared folder and read again. Rows are in the order of the mix."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
         docs = spark.read.parquet(f"{base}/{name}")
-    return docs
+    return docs.orderBy("mix_position")
 
 
 #: The classifier, the inferred automata and the schedule have no SQL form; tests compare the stages with plain versions.

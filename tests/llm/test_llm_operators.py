@@ -462,6 +462,21 @@ def test_near_dedup_judges_rows(spark):
     assert sorted(got, key=key) == sorted([(5, a), (7, b), (3, d), (9, e), (None, a), (None, a), (4, ""), (4, None)], key=key)
 
 
+def test_pipeline_keeps_the_order_of_the_mix(spark, monkeypatch):
+    import corpus_pipeline as c
+
+    d = "/root/testdata/sf0.001"
+    monkeypatch.setattr(c, "STAGES", c.STAGES[3:])
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    place = {r.doc_id: r.position for r in mixing.mix_positions(docs, c.queries.TARGET_WEIGHTS).collect()}
+    rows = c.run(spark, d).collect()
+    assert [r.doc_id for r in rows] == sorted(place, key=place.get)
+    assert [r.mix_position for r in rows] == list(range(len(place)))
+    odd = spark.createDataFrame([(i, f"text {k}", "en", "s", 6) for k, i in enumerate([1, 1, None, None, 2])], DOCS)
+    got = c.tokens(spark, odd, d).collect()
+    assert sorted(r.mix_position for r in got) == list(range(5)) and Counter(r.doc_id for r in got) == Counter([1, 1, None, None, 2])
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as c
 
