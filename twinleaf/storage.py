@@ -32,6 +32,16 @@ def cut(df: DataFrame, parts: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def put(spark: SparkSession, name: str, data: bytes) -> str:
+    """Write a file of bounded size into the shared folder; returns its address."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(path)
+    out.write(bytearray(data))
+    out.close()
+    return files.makeQualified(path).toString()
+
+
 def remove(spark: SparkSession, df: DataFrame) -> None:
     """Delete the files of a table made by cut() once no later plan reads it."""
     jvm = spark._jvm
