@@ -1,15 +1,17 @@
 """URL filter: allow and block rules, and gradient-boosted trees for what no rule covers.
 
-The trees are fitted on labelled URLs: a bounded number of rows that a rule decides
-(MAX_LABELLED, taken by hash order) and a short labelled list of common kinds of
-junk and ordinary addresses. Features are lexical: lengths, depth, digit ratio,
+The trees are fitted on labelled URLs: a bounded number of those that a rule decides
+(MAX_LABELLED, the least by hash) and a labelled list of common kinds of junk and
+ordinary addresses (seed_labels). Features are lexical: lengths, depth, digit ratio,
 entropy, parameter counts, hyphens, and log-odds of the host's suffixes and of the
-path's ending among the labelled URLs.
+path's ending. A labelled URL's own odds come from the other FOLDS - 1 parts of the
+labels, so that no URL's label is among its features.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -24,10 +26,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (verdict, host, path prefix); the longest that fits decides.
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 MAX_LABELLED = 20_000
-TREES, DEPTH, RATE, BINS, LEAST = 80, 3, 0.15, 32, 8
+TREES, DEPTH, RATE, BINS, LEAST, FOLDS = 80, 3, 0.15, 32, 8, 5
 
-_JUNK_WORDS = ["cheap-pills", "spam-farm", "adult-x", "free-casino-bonus", "buy-meds-online", "hot-singles", "win-big-now", "crypto-doubler", "xxx-tube", "replica-watches"]
-_PLAIN_WORDS = ["news", "library", "docs", "university", "museum", "weather", "recipes", "gardening", "travel", "forum"]
+#: Host words of the labelled list: advertising, gambling, adult, drug, loan and phishing hosts, most of them hyphenated, and ordinary ones.
+_JUNK_WORDS = ["cheap-pills", "spam-farm", "adult-x", "free-casino-bonus", "buy-meds-online", "hot-singles", "win-big-now", "crypto-doubler", "xxx-tube", "replica-watches", "payday-loans-24", "ad-server-7", "click-tracker", "secure-login-verify", "poker-slots-777", "work-from-home-cash"]
+_PLAIN_WORDS = ["news", "library", "docs", "university", "museum", "weather", "recipes", "gardening", "travel", "forum", "city-council", "chess", "railways", "open-maps", "school", "botany"]
 
 
 def seed_labels() -> list[tuple[str, int]]:
@@ -96,12 +99,14 @@ class Trees:
     """Gradient boosting with logistic loss over binned features; small, deterministic, no dependence but numpy."""
 
     def __init__(self, urls: list[str | None], y: np.ndarray):
-        seen = [defaultdict(lambda: [1.0, 1.0]) for _ in range(4)]
-        for u, label in zip(urls, y, strict=True):
+        seen: list[dict[str, np.ndarray]] = [defaultdict(lambda: np.zeros((FOLDS, 2))) for _ in range(4)]
+        folds = [zlib.crc32((u or "").encode()) % FOLDS for u in urls]  # copies are in one fold
+        for u, label, fold in zip(urls, y, folds, strict=True):
             for counts, e in zip(seen, _endings(u), strict=True):
-                counts[e][int(label)] += 1
-        self.odds = [{e: math.log(c[1] / c[0]) for e, c in counts.items() if sum(c) >= LEAST} for counts in seen]
-        x = self.features(urls)
+                counts[e][fold, int(label)] += 1
+        self.odds = [self._odds({e: c.sum(axis=0) for e, c in counts.items()}) for counts in seen]
+        others = [[self._odds({e: c.sum(axis=0) - c[f] for e, c in counts.items()}) for counts in seen] for f in range(FOLDS)]
+        x = np.array([lexical(u, others[f]) for u, f in zip(urls, folds, strict=True)], float).reshape(len(urls), -1)
         self.edges = [np.unique(np.quantile(col, np.linspace(0, 1, BINS + 1)[1:-1])) for col in x.T]
         binned = np.stack([np.searchsorted(e, col, side="left") for e, col in zip(self.edges, x.T, strict=True)], axis=1)
         rate = min(max(y.mean(), 0.01), 0.99)
@@ -114,6 +119,11 @@ class Trees:
             self.trees.append(tree)
             score += self._walk(tree, binned)
 
+    @staticmethod
+    def _odds(counts: dict[str, np.ndarray]) -> dict[str, float]:
+        """Log-odds of being blocked of each ending with LEAST labelled URLs or more, one of either label added."""
+        return {e: math.log((c[1] + 1) / (c[0] + 1)) for e, c in counts.items() if c.sum() >= LEAST}
+
     def features(self, urls: list[str | None]) -> np.ndarray:
         return np.array([lexical(u, self.odds) for u in urls], float).reshape(len(urls), -1)
 
@@ -165,10 +175,20 @@ def _scored(model):
 
 
 def fit(urls: DataFrame, rules: list[tuple[str, str, str]], extra: list[tuple[str, int]]) -> Trees:
-    """Trees from at most MAX_LABELLED rule-decided distinct URLs of the table (in hash order) and the extra labels."""
+    """Trees from rule-decided distinct URLs of the table, the MAX_LABELLED of least hash, and the extra labels.
+
+    An estimate of the number of distinct ones gives a bound of the hash below which
+    somewhat more than MAX_LABELLED are expected: only these are shuffled and sent to
+    the driver, however many there are.
+    """
     _, verdict = by_rule(*parts(F.col("url")), rules)
-    decided = urls.select("url", verdict.alias("verdict")).where("verdict is not null").distinct().orderBy(F.xxhash64("url"), "url").limit(MAX_LABELLED)
-    rows = [(r[0], int(r[1] == "block")) for r in decided.collect()] + extra
+    decided = urls.select("url", verdict.alias("verdict"), F.xxhash64("url").alias("hash")).where("verdict is not null")
+    distinct = decided.agg(F.approx_count_distinct("hash", 0.01)).first()[0]
+    bound = 1.1 * MAX_LABELLED / max(distinct, 1)
+    if bound < 1:
+        decided = decided.where(F.col("hash") < int((bound - 0.5) * 2**64))
+    rows = sorted((r.hash, r.url, int(r.verdict == "block")) for r in decided.distinct().collect())[:MAX_LABELLED]
+    rows = [r[1:] for r in rows] + extra
     return Trees([r[0] for r in rows], np.array([r[1] for r in rows], float))
 
 
