@@ -5,11 +5,13 @@ import json
 import math
 import random
 import re
+import tempfile
 import zlib
 from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("twinleaf.llm")
@@ -148,19 +150,82 @@ def test_bpe_digests_and_round_trip(spark, docs):
     assert bpe.encode_digests(docs.limit(0), P.path("byte_bpe_50k.json")).count() == 0
 
 
-def test_lexicon_is_minimal_and_numbers_its_words():
+def test_lexicon_is_minimal_and_numbers_its_words(tmp_path):
     v = bpe.Vocabulary(P.path("byte_bpe_50k.json"))
+
+    def lexicon(words):
+        path = tmp_path / f"{len(list(tmp_path.iterdir()))}"
+        path.write_bytes(bpe.compile_lexicon(words, v))
+        return bpe.Lexicon(str(path))
+
     words = sorted({w.encode() for w in WORDS} | {b"", b"a", b"testing", b"resting", b"nesting"})
-    lexicon = bpe.Lexicon(bpe.compile_lexicon(words, v))
-    assert lexicon.numbers(words).tolist() == list(range(len(words)))
-    assert (lexicon.numbers([b"zz", b"testin", b"testings", b"\xff"]) == -1).all()
-    endings = bpe.Lexicon(bpe.compile_lexicon([b"testing", b"resting", b"nesting"], v))
+    made = lexicon(words)
+    assert made.numbers(words).tolist() == list(range(len(words)))
+    assert (made.numbers([b"zz", b"testin", b"testings", b"\xff"]) == -1).all()
+    for k, w in enumerate(words):
+        assert made.ids[made.starts[k] : made.starts[k + 1]].tolist() == v.merge(w)
+    endings = lexicon([b"testing", b"resting", b"nesting"])
     assert len(endings.final) == 8  # one shared path of 'esting', and the root
-    assert len(bpe.Lexicon(bpe.compile_lexicon([], v)).keys) == 0
+    assert len(lexicon([]).keys) == 0
     for w in words[:50]:
         assert v.merge(w) == v._merge_long([v.first[b] for b in w])
 
 
+def test_words_merged_together_are_as_merged_one_by_one():
+    v = bpe.Vocabulary(P.path("byte_bpe_50k.json"))
+    r = random.Random(3)
+    words = [bytes(r.choices(b"aeinst \xc3\xa9lo", k=r.randint(0, 20))) for _ in range(3000)] + [b"a" * n for n in range(40)] + [b"=" * 99, b"", b"ab" * 60]
+    ids, at = v.merge_all(words)
+    assert [ids[b:e].tolist() for b, e in zip(at, at[1:])] == [v.merge(w) for w in words]
+    made = {i: rank for rank, i in v.merges.values()}
+    assert all(made.get(x, -1) < rank for pair, (rank, _) in v.merges.items() for x in pair)  # what merge_all rests on
+    assert [len(x) for x in v.merge_all([])] == [0, 1]
+
+
+def test_runs_are_split_as_the_whole_text_is():
+    r = random.Random(1)
+    for _ in range(20_000):
+        text = "".join(r.choices("ab1.' \n\t  'sé,\u3000\xa0", k=r.randint(0, 14)))
+        found = bpe.runs(text)
+        assert bpe._SPLIT.findall(found[0]) + [w for x in found[1:] for w in bpe._SPLIT.findall(" " + x)] == bpe._SPLIT.findall(text)
+
+
+def test_bpe_of_odd_blanks_special_tokens_and_a_full_memory(spark, monkeypatch):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    r = random.Random(2)
+    texts = [None, "", " ", "  ", " x", "x ", "a  b", "a\n b", "a \nb", "<|endoftext|>", "a <|endoftext|> b<|endoftext|>", "z" * 700 + " " + "é" * 400] + ["".join(r.choices([*WORDS[:30], " ", " ", "  ", "\n", "'s", "12", "<|endoftext|>", "\u3000"], k=40)) for _ in range(300)]
+    names = [*texts, *texts]
+    held = pa.array(names, pa.string())
+    words = bpe.Vocabulary(P.path("byte_bpe_50k.json"))
+    path = bpe.compile_lexicon([w.encode() for w in WORDS], words)
+    with tempfile.NamedTemporaryFile() as f:
+        f.write(path)
+        f.flush()
+        encoder = bpe.Encoder(words, bpe.Lexicon(f.name))
+        for size in (len(names), 50):  # the second time with a memory that is full at once
+            monkeypatch.setattr(bpe, "REMEMBERED", 1 << 30 if size > 50 else 10)
+            for b in range(0, len(names), size):
+                part = held.slice(b, size)
+                ids, ends = encoder.encode(part)
+                got = [ids[x:y].tolist() for x, y in zip(ends, ends[1:])]
+                assert got == [t.encode(x or "", add_special_tokens=False).ids for x in part.to_pylist()]
+                assert encoder.decode(ids, ends) == [x or "" for x in part.to_pylist()]
+
+
+def test_frequent_words_are_the_most_frequent(spark):
+    texts = [" ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60) for _ in range(60 - k)), "", None, "x " * 9000]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, text string")
+    counts = Counter(w for x in texts for w in bpe._SPLIT.findall(x or ""))
+    for most in (0, 1, 5, 30, 10_000):
+        got = bpe.frequent_words(df, most=most)
+        assert len(got) == len(set(got)) <= most
+        least = min((counts[w] for w in got), default=1 << 60)
+        assert set(got) == {w for w, n in counts.items() if n >= least}
+        assert least == 1 << 60 or sum(n >= least - 1 for n in counts.values()) > most or len(got) == len(counts) or all(n < least for w, n in counts.items() if w not in got)
+
+
 def test_url_rules_against_a_plain_version(spark):
     given = ["https://a.example.org/es/1", "http://example.org/en/12", "http://notexample.org/es/", "HTTP://X.COM/fr/1?x#y", "http://u.com/de/1", "http://com/de/", "http://x.org", "http://x.org?a/b", None, "", "no scheme/x", "a://b://c/d", "http://k.NET/en/1", "http://k.NET/en/1"]
     df = spark.createDataFrame([(i if i != 3 else None, u, 1) for i, u in enumerate(given)], "page_id long, url string, host int")
@@ -213,76 +278,79 @@ def test_quality_on_held_out_labels(spark):
     assert len(held) > 80 and np.mean([a == b for a, b in held]) > 0.95
 
 
-def test_pfair_schedule_stays_within_a_block():
-    r = random.Random(4)
-    for _ in range(150):
-        counts = [r.randint(0, 25) for _ in range(r.randint(1, 6))]
-        done, n = [0] * len(counts), sum(counts)
-        for t, (s, k) in enumerate(mixing.schedule(counts)):
-            assert k == done[s]
-            done[s] += 1
-            assert all(abs(d - c * (t + 1) / n) < 1 for d, c in zip(done, counts, strict=True))
-        assert done == counts
-
-
-def plain_mix(sizes, slots, block):
-    """Sources in order of position, by filling period after period."""
-    left = [-(-s // block) for s in sizes]
-    used, out = [0] * len(sizes), []
+def plain_mix(rows, weights, block):
+    """Sources in order of position: at each slot the released block of earliest deadline, among sources that have rows, in fractions."""
+    left, used, out = [-(-r // block) for r in rows], [0] * len(rows), []
     while any(left):
-        for s, _ in mixing.schedule([min(a, b) for a, b in zip(slots, left, strict=True)]):
-            n = min(block, sizes[s] - used[s])
+        alive = [s for s, n in enumerate(left) if n]
+        share = {s: Fraction(str(weights[s])) for s in alive if weights[s]} or dict.fromkeys(alive, Fraction(1))
+        total, placed, t = sum(share.values()), dict.fromkeys(share, 0), 0
+        while True:
+            window = {s: (math.floor(k * total / share[s]), math.ceil((k + 1) * total / share[s])) for s, k in placed.items()}
+            s = min((due, s) for s, (release, due) in window.items() if release <= t)[1]
+            n = min(block, rows[s] - used[s])
             out += [s] * n
             used[s] += n
-        left = [max(0, a - b) for a, b in zip(left, slots, strict=True)]
+            left[s] -= 1
+            placed[s] += 1
+            t += 1
+            assert all(abs(k - share[x] * t / total) < 1 for x, k in placed.items())  # less than a block from the target
+            if not left[s]:
+                break
     return out
 
 
+def placed_by(plan, rows):
+    at = {}
+    for s, r in enumerate(rows):
+        if r:
+            slot, position = plan.place(s, np.arange(r))
+            assert (np.diff(slot) >= 0).all()
+            at |= dict(zip(position.tolist(), [s] * r, strict=True))
+    assert sorted(at) == list(range(sum(rows)))
+    return [at[k] for k in range(sum(rows))]
+
+
 def test_mix(spark, docs):
     got = mixing.mix_positions(docs, {"s1": 3.0}, block=2).collect()
     assert sorted(r.position for r in got) == list(range(len(odd_rows())))
     names = sorted({r.source or "\x00" for r in got})
     sizes = [sum((r.source or "\x00") == s for r in got) for s in names]
-    assert [r.source or "\x00" for r in sorted(got, key=lambda r: r.position)] == [names[s] for s in plain_mix(sizes, mixing.shares([3.0 if s == "s1" else 1.0 for s in names]), 2)]
+    assert [r.source or "\x00" for r in sorted(got, key=lambda r: r.position)] == [names[s] for s in plain_mix(sizes, [3.0 if s == "s1" else 1.0 for s in names], 2)]
     assert mixing.mix_positions(docs.limit(0), {}).count() == 0
-    whole = mixing.mixed(docs, {})
-    assert whole.columns == docs.columns and sorted(map(str, whole.collect())) == sorted(map(str, docs.collect()))
-
-
-@pytest.mark.parametrize("given", [[4.0, 2.0, 2.0, 0.5, *[1.0] * 16], [4.0, 2.0, 2.0, 0.5, *[1.0] * 1500], [0.37, 0.123, 1 / 3, 5.0], [1.0, 1000.0]])
-def test_mix_keeps_the_given_weights(given):
-    weights = [Fraction(str(w)) for w in given]
-    n = 12_000  # slots: many periods of the first weights
-    rows = [2 * (int(n * w / sum(weights)) + 3) for w in weights]  # no source runs out before
-    plan = mixing.Plan(rows, mixing.shares(given), 2)
-    at = {}
-    for s, r in enumerate(rows):
-        slot, position = plan.place(s, np.arange(r))
-        assert (slot == [plan.slot(s, k // 2) for k in range(r)]).all()
-        at |= dict(zip(position.tolist(), zip([s] * r, slot.tolist())))
-    assert sorted(at) == list(range(sum(rows)))
-    order = {slot: s for s, slot in at.values()}
-    placed, share = [0] * len(rows), [w / sum(weights) for w in weights]
-    for t in range(n):
-        s = order[t]
-        placed[s] += 1
-        for x in range(len(rows)) if t % 500 == 499 else (0, s):
-            assert abs(placed[x] - share[x] * (t + 1)) < 1, (t, x)
-
-
-def test_mix_of_sources_that_run_out():
-    """Weights of a long period: whenever a source has run out, the others keep to their weights."""
-    weights, blocks = [Fraction("0.37"), Fraction("0.123"), Fraction(1), Fraction(0)], [300, 40, 50, 7]
-    order = sorted((slot, s) for s, places in enumerate(mixing.whole_schedule(blocks, mixing.shares(weights))) for slot in places.tolist())
-    assert [t for t, _ in order] == list(range(397)) and {s for _, s in order[-7:]} == {3}
-    left, start, placed = list(blocks), 0, [0] * 3
-    for t, s in order[:-7]:
-        total = sum(w for w, b in zip(weights, left) if b)
-        placed[s] += 1
-        assert all(abs(placed[x] - weights[x] / total * (t + 1 - start)) < 1 for x in range(3) if left[x])
-        left[s] -= 1
-        if not left[s]:
-            start, placed = t + 1, [0] * 3
+    clashing = docs.selectExpr("*", "1 as _source", "2 as _position", "3 as c0", "4 as _rank", "5 as _mix_source")
+    whole = mixing.mixed(clashing, {})
+    assert whole.columns == clashing.columns and sorted(map(str, whole.collect())) == sorted(map(str, clashing.collect()))
+    assert mixing.mixed(docs.limit(0), {}).count() == 0
+
+
+@pytest.mark.parametrize("given", [[4.0, 2.0, 2.0, 0.5, *[1.0] * 16], [0.37, 0.123, 1 / 3, 5.0], [1.0, 1000.0], [1.0], [0.0, 0.0, 2.0]])
+def test_mix_against_a_plain_version(given):
+    r = random.Random(9)
+    for most in (3, 40, 120):
+        rows = [r.randint(0, most) for _ in given]
+        assert placed_by(mixing.Plan(rows, mixing.shares(given), 2), rows) == plain_mix(rows, given, 2)
+
+
+def test_mix_of_many_sources():
+    r = random.Random(10)
+    given = [r.choice([0.5, 1.0, 4.0]) for _ in range(600)]
+    rows = [r.randint(0, 6) for _ in given]
+    assert placed_by(mixing.Plan(rows, mixing.shares(given), 2), rows) == plain_mix(rows, given, 2)
+
+
+def test_mix_keeps_to_the_weights_while_all_have_rows_and_plans_by_sources_not_rows():
+    given = [4.0, 2.0, 2.0, 0.5, *[1.0] * 16]
+    share = [Fraction(str(w)) / Fraction("24.5") for w in given]
+    rows = [10**9 + 17 * k for k in range(20)]
+    plan = mixing.Plan(rows, mixing.shares(given), 32)
+    assert len(plan.starts) == 20
+    n = int(rows[0] / 32 / share[0])  # the first source runs out about here, and none before
+    for s, w in enumerate(share):
+        k = np.unique(np.linspace(0, int((n - 100) * w) - 1, 5000).astype(np.int64))
+        slot = plan.slots(s, k)
+        # block k at a slot: k were placed before it and k + 1 after
+        assert all(abs(k_ - w * t) < 1 and abs(k_ + 1 - w * (t + 1)) < 1 for k_, t in zip(k.tolist(), slot.tolist(), strict=True))
     with pytest.raises(ValueError):
         mixing.shares([1.0, -1.0])
 
