@@ -1,23 +1,24 @@
 """License scans: fixed phrases, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line, or a paragraph of several lines. It matches a template if it holds
-at least THRESHOLD of the template's distinct words. All words are ordered by their
-document frequency over the whole corpus, rarest first; a block that reaches the
-threshold must hold one of the template's first |T| - ceil(THRESHOLD * |T|) + 1 words
-(prefix), at least ceil(THRESHOLD * |T|) of its own (length), and from a shared prefix
-word on enough words must be left on both sides (position). What passes is counted in
-full, so no match is missed. Every match counts, but for one: versions of a license
-(FAMILIES) share most of their words, so in a block a version yields to one of its
-family of which the block holds more.
+A block is any stretch of consecutive words, up to SPREAD times as many as a template
+has. It matches the template if it holds at least THRESHOLD of the template's distinct
+words, among them those without which the text names another license (needs), and none
+that tell a license of like wording (bars). All words are ordered by their document
+frequency over the whole corpus, rarest first; what reaches the threshold must hold one
+of the template's first |T| - ceil(THRESHOLD * |T|) + 1 words (prefix), at least
+ceil(THRESHOLD * |T|) of its words (length), and from a shared prefix word on enough
+words must be left on both sides (position). Around the prefix words of a text that
+passes, all blocks are counted by a sliding window, so no match is missed.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter, defaultdict, deque
 from collections.abc import Iterator
 from fractions import Fraction
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,27 +29,54 @@ from twinleaf.llm.common import bound_batches, frugal, raw, steps
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")  # of UTF-8 with A-Z lower-cased: bytes from 0x80 are word characters
 # Fixed phrases and their labels.
 PHRASES = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
-THRESHOLD = Fraction(4, 5)
-#: Notices by which licenses are commonly referred to.
+THRESHOLD, SPREAD = Fraction(4, 5), Fraction(3, 2)
+
+
+class Template(NamedTuple):
+    label: str
+    text: str
+    needs: frozenset[str] = frozenset()
+    bars: frozenset[str] = frozenset()
+
+
+def _template(label: str, text: str, needs: str = "", bars: str = "") -> Template:
+    return Template(label, text, frozenset(needs.split()), frozenset(bars.split()))
+
+
+_GPL = "you can redistribute it and or modify it under the terms of the gnu"
+_BY = "the free software foundation either version"
+#: Notices by which licenses are commonly referred to, and the opening sentences of their texts.
 TEMPLATES = [
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("apache-2", "licensed under the apache license version 2.0"),
-    ("apache-2", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
-    ("gpl-3", "this work is licensed under the gnu general public license version 3"),
-    ("gpl-2", "this work is licensed under the gnu general public license version 2"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
-    ("lgpl", "this library is free software under the terms of the gnu lesser general public license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2.0"),
-    ("cc-by-nc", "licensed under cc by nc 4.0"),
-    ("cc-by", "this work is licensed under a creative commons attribution 4.0 international license"),
-    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4.0 international license"),
-    ("all-rights-reserved", "copyright all rights reserved no part of this may be reproduced without permission"),
+    _template("mit", "released under the mit license", "mit"),
+    _template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "granted", "organization"),
+    _template("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "included"),
+    _template("apache-2", "licensed under the apache license version 2.0", "apache 2"),
+    _template("apache-2", "licensed under the apache license version 2.0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at", "compliance"),
+    _template("apache-2", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied", "applicable"),
+    _template("gpl-3", "this work is licensed under the gnu general public license version 3", "gnu general 3", "lesser affero apache"),
+    _template("gpl-2", "this work is licensed under the gnu general public license version 2", "gnu general 2", "lesser affero apache"),
+    _template("gpl", f"this program is free software {_GPL} general public license", "gnu general", "lesser affero library"),
+    _template("gpl-3", f"this program is free software {_GPL} general public license as published by {_BY} 3 of the license or at your option any later version", "gnu general 3", "lesser affero library apache"),
+    _template("gpl-2", f"this program is free software {_GPL} general public license as published by {_BY} 2 of the license or at your option any later version", "gnu general 2", "lesser affero library apache"),
+    _template("lgpl", "this library is free software under the terms of the gnu lesser general public license", "gnu lesser"),
+    _template("lgpl", f"this library is free software {_GPL} lesser general public license", "gnu lesser"),
+    _template("agpl", f"this program is free software {_GPL} affero general public license", "gnu affero"),
+    _template("bsd", "released under the bsd license", "bsd"),
+    _template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "permitted"),
+    _template("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", "retain"),
+    _template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", "fee"),
+    _template("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software", "arising"),
+    _template("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2.0", "mozilla"),
+    _template("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license", "eclipse"),
+    _template("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered"),
+    _template("bsl", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", "organization"),
+    _template("cc-by-nc", "licensed under cc by nc 4.0", "nc", "sa nd"),
+    _template("cc-by", "this work is licensed under a creative commons attribution 4.0 international license", "attribution", "sharealike noncommercial noderivatives noderivs"),
+    _template("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4.0 international license", "sharealike", "noncommercial"),
+    _template("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4.0 international license", "noncommercial", "sharealike noderivatives noderivs"),
+    _template("cc0", "to the extent possible under law the author has dedicated all copyright and related and neighboring rights to this work to the public domain worldwide", "dedicated"),
+    _template("all-rights-reserved", "copyright all rights reserved no part of this may be reproduced without permission", "reserved"),
 ]
-#: Labels of which one template reaches the threshold of another.
-FAMILIES = [{"gpl-2", "gpl-3"}, {"gpl", "lgpl"}, {"cc-by", "cc-by-sa"}]
-_FAMILY = {label: k for k, labels in enumerate(FAMILIES) for label in labels}
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -58,56 +86,82 @@ def words_of(text: bytes) -> list[bytes]:
 class Join:
     """The templates, indexed by the prefix words of the given order (word: document frequency)."""
 
-    def __init__(self, templates: list[tuple[str, str]], frequency: dict[bytes, int], threshold: Fraction = THRESHOLD):
-        self.labels, self.sets, self.need = [], [], []
+    def __init__(self, templates: list[Template], frequency: dict[bytes, int], threshold: Fraction = THRESHOLD):
+        self.labels, self.sets, self.need, self.width, self.needs, self.bars = [], [], [], [], [], []
         self.prefix: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        self.rank = {w: k for k, w in enumerate(sorted({w for _, t in templates for w in words_of(t.encode())}, key=lambda w: (frequency.get(w, 0), w)))}  # rarest first, ties by the word
-        for n, (label, text) in enumerate(templates):
-            ordered = sorted(set(words_of(text.encode())), key=self.rank.__getitem__)
+        self.rank = {w: k for k, w in enumerate(sorted({w for t in templates for w in words_of(t.text.encode())}, key=lambda w: (frequency.get(w, 0), w)))}  # rarest first, ties by the word
+        for n, t in enumerate(templates):
+            words = words_of(t.text.encode())
+            ordered = sorted(set(words), key=self.rank.__getitem__)
             need = math.ceil(threshold * len(ordered))
-            self.labels.append(label)
+            self.labels.append(t.label)
             self.sets.append(frozenset(ordered))
             self.need.append(need)
+            self.width.append(math.ceil(SPREAD * len(words)))
+            self.needs.append(frozenset(w.encode() for w in t.needs))
+            self.bars.append(frozenset(w.encode() for w in t.bars))
             for i, w in enumerate(ordered[: len(ordered) - need + 1]):
                 self.prefix[w].append((n, i))
 
-    def matches(self, block: set[bytes]) -> Iterator[tuple[int, float]]:
-        """(template, containment) of every template that the block reaches."""
-        hits = [w for w in block if w in self.prefix]
+    def candidates(self, words: set[bytes]) -> set[int]:
+        """Templates that a block of these words may reach, by the prefix, length and position filters."""
+        hits = self.prefix.keys() & words
         if not hits:
-            return
-        known = sorted((w for w in block if w in self.rank), key=self.rank.__getitem__)
+            return set()
+        known = sorted(self.rank.keys() & words, key=self.rank.__getitem__)
         at = {w: k for k, w in enumerate(known)}
-        done = set()
-        for w in sorted(hits, key=self.rank.__getitem__):
+        out = set()
+        for w in hits:
             for n, i in self.prefix[w]:
-                if n in done:
-                    continue
-                need = self.need[n]
-                if len(known) < need:  # length
-                    continue
-                if min(i, at[w]) + min(len(self.sets[n]) - i, len(known) - at[w]) < need:  # position: at most so many are shared before the word, and from it on
-                    continue
-                done.add(n)
-                both = len(self.sets[n].intersection(known))
-                if both >= need:
-                    yield n, both / len(self.sets[n])
-
-    def scan(self, text: bytes) -> tuple[set[str], float]:
-        """Labels of all matching blocks, and the greatest containment (0 without a match)."""
+                # at most so many words are shared before the prefix word, and from it on
+                if len(known) >= self.need[n] and min(i, at[w]) + min(len(self.sets[n]) - i, len(known) - at[w]) >= self.need[n] and self.needs[n] <= words:
+                    out.add(n)
+        return out
+
+    def best(self, n: int, words: list[bytes], begin: int, end: int) -> int:
+        """The most of the template's words that a block within words[begin:end] holds with all it needs and none it bars."""
+        wanted, needs, bars, width = self.sets[n], self.needs[n], self.bars[n], self.width[n]
+        held: deque[int] = deque()
+        counts: Counter[bytes] = Counter()
+        most = 0
+        for k in range(begin, end):
+            w = words[k]
+            if w in bars:
+                held.clear()
+                counts.clear()
+            elif w in wanted:
+                held.append(k)
+                counts[w] += 1
+                while held[0] <= k - width:
+                    gone = words[held.popleft()]
+                    counts[gone] -= 1
+                    if not counts[gone]:
+                        del counts[gone]
+                if len(counts) > most and needs <= counts.keys():
+                    most = len(counts)
+        return most
+
+    def scan(self, words: list[bytes]) -> tuple[set[str], float]:
+        """Labels of the templates that some block reaches, and the greatest containment (0 without a match)."""
         labels, score = set(), 0.0
-        if not any(w in self.prefix for w in set(words_of(text))):
+        maybe = self.candidates(set(words))
+        if not maybe:
             return labels, score
-        for paragraph in re.split(rb"\n[ \t\r]*\n", text):
-            lines = [set(words_of(x)) for x in paragraph.split(b"\n")]
-            for block in lines + ([set().union(*lines)] if len(lines) > 1 else []):
-                found = list(self.matches(block))
-                best: dict[int | str, float] = {}  # by family; a label without one is its own
-                for n, c in found:
-                    family = _FAMILY.get(self.labels[n], self.labels[n])
-                    best[family] = max(best.get(family, 0.0), c)
-                labels.update(self.labels[n] for n, c in found if c == best[_FAMILY.get(self.labels[n], self.labels[n])])
-                score = max([score, *best.values()])
+        places: dict[int, list[int]] = defaultdict(list)
+        for k, w in enumerate(words):
+            for n, _ in self.prefix.get(w, ()):
+                if n in maybe:
+                    places[n].append(k)
+        for n, found in places.items():
+            width, begin = self.width[n], 0
+            for k in range(len(found)):  # a block holds a prefix word, so it lies around one: places near each other are taken together
+                if k + 1 < len(found) and found[k + 1] - found[k] < 2 * width:
+                    continue
+                both = self.best(n, words, max(0, found[begin] - width + 1), min(len(words), found[k] + width))
+                begin = k + 1
+                if both >= self.need[n]:
+                    labels.add(self.labels[n])
+                    score = max(score, both / len(self.sets[n]))
         return labels, score
 
 
@@ -153,7 +207,7 @@ def _scanned(join):
                 words = words_of(text)
                 places = phrase_places(words)
                 base = {label for _, label in places}
-                more, score = join.value.scan(text)
+                more, score = join.value.scan(words)
                 row = (len(words), len(places), min((k for k, _ in places), default=None), max((k for k, _ in places), default=None), ",".join(sorted(base)), ",".join(sorted(base | more)), 1.0 if base else score)
                 for c, x in zip(cols, row, strict=True):
                     c.append(x)
@@ -163,12 +217,12 @@ def _scanned(join):
     return run
 
 
-def license_labels(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] | None = None) -> DataFrame:
+def license_labels(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[Template] | None = None) -> DataFrame:
     """One row per input row: id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     Base: places of the fixed phrases. labels adds those of all templates that some block
-    contains to THRESHOLD, without the versions of a license of which that block contains
-    less than of another (FAMILIES); score is 1 with a base phrase, else the greatest containment.
+    contains to THRESHOLD, with the words it needs and none it bars; score is 1 with a base
+    phrase, else the greatest containment.
     A null or empty text has no words, no labels and score 0. Repeated rows and null
     ids give a row each; other columns are ignored; an empty table gives an empty
     result.
@@ -176,7 +230,7 @@ def license_labels(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bound_batches(docs.sparkSession)
     templates = TEMPLATES if templates is None else templates
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    vocabulary = frozenset(w for _, t in templates for w in words_of(t.encode()))
+    vocabulary = frozenset(w for t in templates for w in words_of(t.text.encode()))
     counted = docs.select("text").mapInArrow(_frequencies(vocabulary), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     frequency = {r[0].encode(): r[1] for r in counted.collect()}  # the templates' words only
     join = docs.sparkSession.sparkContext.broadcast(Join(templates, frequency))
