@@ -2,10 +2,13 @@
 
 Every 64-byte window of a text has an entropy; windows are ranked by how rare their
 entropy is in the whole corpus. The window of least rank in each run of 64
-neighbouring windows gains a point, and windows with at least POINTS points are the
-text's features. Their hashes go into a chain of 2048-bit Bloom filters, 5 bits each,
-a new filter after 160 features. Two digests are compared filter by filter: bits in
-common beyond those expected by chance, over the most there could be.
+neighbouring windows gains a point, and windows with at least 16 points are the
+text's features; a text of fewer than 256 windows has shorter runs, a quarter of its
+windows or less, and needs fewer points, a quarter of the run. Texts of less than 128
+bytes have their 16-byte windows as features too, or, below 64 bytes, only these. The
+features' hashes go into a chain of 2048-bit Bloom filters, 5 bits each, a new filter
+after 160 features. Two digests are compared filter by filter: bits in common beyond
+those expected by chance, over the most there could be.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 
 from twinleaf.llm.common import bound_batches, frugal, raw, steps
 
-WINDOW, RUN, POINTS = 64, 64, 16
+WINDOW, RUN, SHORT = 64, 64, 16
 LEVELS = 1024  # entropies are kept as whole numbers, 6 bits of entropy being LEVELS - 1
 BITS, HASHES, PER_FILTER = 2048, 5, 160
 STEP = 1 << 20
@@ -54,20 +57,22 @@ def entropies(text: np.ndarray) -> np.ndarray:
 
 
 def selected(ranks: np.ndarray) -> np.ndarray:
-    """Places of the windows that are the leftmost of least rank in at least POINTS runs of RUN windows (in the only run, of fewer)."""
+    """Places of the windows that are the leftmost of least rank in at least a quarter as many runs as a run has windows.
+
+    A run has RUN windows, or the greatest power of two up to a quarter of all windows.
+    """
     if not len(ranks):
         return np.empty(0, np.int64)
+    run = min(RUN, 1 << max(0, (len(ranks) // 4).bit_length() - 1))
     key = ranks.astype(np.int64) << 32 | np.arange(len(ranks))
-    if len(key) <= RUN:
-        return np.array([key.min() & 0xFFFFFFFF])
     width = 1
-    while width < RUN:
+    while width < run:
         key = np.minimum(key[:-width], key[width:])
         width *= 2
     place = (key & 0xFFFFFFFF).astype(np.int64)
     starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])  # leftmost minima never go back
     points = np.diff(np.r_[starts, len(place)])
-    best = starts[points >= POINTS]
+    best = starts[points >= max(1, run // 4)]
     return place[best] if len(best) else place[starts[[int(points.argmax())]]]
 
 
@@ -80,12 +85,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def feature_hashes(text: np.ndarray, places: np.ndarray) -> np.ndarray:
+def feature_hashes(text: np.ndarray, places: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """A 64-bit hash of the window at each place."""
     out = [np.empty(0, np.uint64)]
     for b in range(0, len(places), 4096):
-        windows = text[places[b : b + 4096, None] + np.arange(WINDOW)]
-        out.append(_mix((windows.astype(np.uint64) * _BYTE_WEIGHTS).sum(axis=1, dtype=np.uint64)))
+        windows = text[places[b : b + 4096, None] + np.arange(window)]
+        out.append(_mix((windows.astype(np.uint64) * _BYTE_WEIGHTS[:window]).sum(axis=1, dtype=np.uint64) + _U(WINDOW - window)))
     return np.concatenate(out)
 
 
@@ -108,16 +113,8 @@ def _filters(x: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.ascontiguousarray(rows[:, :-2]).view(np.uint64), rows[:, -2].astype(np.int64) * 256 + rows[:, -1]
 
 
-def likeness(x: bytes, y: bytes) -> float:
-    """0 to 1: the mean, over the filters of the shorter digest, of each one's best normalised overlap with a filter of the other.
-
-    Equal digests have 1, an empty one has 0 with any other.
-    """
-    if x == y:
-        return 1.0
-    if not x or not y:
-        return 0.0
-    (a, na), (b, nb) = sorted((_filters(x), _filters(y)), key=lambda f: len(f[0]))
+def _overlap(a: np.ndarray, na: np.ndarray, b: np.ndarray) -> float:
+    """The mean, over the filters of a by their features, of each one's best normalised overlap with a filter of b."""
     ones_b = np.bitwise_count(b).sum(axis=1, dtype=np.int64)
     total = weight = 0.0
     for row, n in zip(a, na, strict=True):
@@ -132,6 +129,19 @@ def likeness(x: bytes, y: bytes) -> float:
     return total / weight
 
 
+def likeness(x: bytes, y: bytes) -> float:
+    """0 to 1, the same both ways: how much of the digest with fewer filters is in the other; of as many, the mean of both ways.
+
+    Equal digests have 1, an empty one has 0 with any other.
+    """
+    if x == y:
+        return 1.0
+    if not x or not y:
+        return 0.0
+    (a, na), (b, nb) = sorted((_filters(x), _filters(y)), key=lambda f: len(f[0]))
+    return _overlap(a, na, b) if len(a) < len(b) else (_overlap(a, na, b) + _overlap(b, nb, a)) / 2
+
+
 class Fingerprinter:
     """Digests of texts under the corpus's entropy ranks (rank 0: the rarest entropy)."""
 
@@ -139,14 +149,17 @@ class Fingerprinter:
         self.ranks = ranks
 
     def features(self, text: bytes) -> np.ndarray:
-        if len(text) < WINDOW:  # one feature, of the padded text
-            if not text:
-                return np.empty(0, np.uint64)
-            data = np.zeros(WINDOW, np.uint8)
-            data[: len(text)] = np.frombuffer(text, np.uint8)
-            return _mix(feature_hashes(data, np.array([0])) + _U(len(text)))
+        if not text:
+            return np.empty(0, np.uint64)
         data = np.frombuffer(text, np.uint8)
-        return feature_hashes(data, selected(self.ranks[entropies(data)]))
+        found = [np.empty(0, np.uint64)]
+        if len(text) < SHORT:  # one feature, of the padded text
+            found.append(_mix(feature_hashes(np.concatenate([data, np.zeros(SHORT - len(text), np.uint8)]), np.array([0]), SHORT) + _U(len(text))))
+        elif len(text) < 2 * WINDOW:
+            found.append(feature_hashes(data, np.arange(len(text) - SHORT + 1), SHORT))
+        if len(text) >= WINDOW:
+            found.append(feature_hashes(data, selected(self.ranks[entropies(data)])))
+        return np.concatenate(found)
 
     def __call__(self, text: bytes) -> bytes:
         return digest(self.features(text))
@@ -236,7 +249,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ids = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("i"))
     bound_batches(spark)
     parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = sorted(set(ids.select(F.percentile_approx("i", [k / parts for k in range(1, parts)], 100 * parts)).first()[0] or [])) if parts > 1 else []
+    bounds = sorted(set(ids.select(F.percentile_approx("i", [k / parts for k in range(1, parts)], max(10_000, 4 * parts))).first()[0] or [])) if parts > 1 else []
     ranks = spark.sparkContext.broadcast(entropy_ranks(docs, text_col))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).withColumn("i", F.coalesce("id", F.lit(-(1 << 63))))
     edges = F.array(*[F.lit(b) for b in bounds]).cast("array<bigint>")
