@@ -1,12 +1,13 @@
 """Quality classifier: nearest-neighbour voting in a latent-semantic space.
 
-A text's terms are its byte-class bigrams and trigrams (letters of either case,
-digits, blanks and each kind of mark are classes) and terms for repetition: words
-equal to the one before, windows and lines met before. Weights are square roots of
+A text's terms are its words (hashed), its byte-class bigrams and trigrams (letters of
+either case, digits, blanks and each kind of mark are classes) and terms for repetition:
+words equal to the one before, windows and lines met before. Weights are square roots of
 term shares times idf; the right singular vectors of the labelled texts' matrix span
 the latent space. The labelled vectors are bounded in number (PER_LABEL), broadcast,
 and every document's cosine with every one of them is computed in blocks; the
-K nearest vote with a power of their cosine.
+K nearest, of equal ones (to nine digits) those of least id, vote with a power of their
+cosine.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from twinleaf.llm.common import bound_batches, frugal, raw, steps
 #: Labelled texts that take part, of each label (in hash order of the id).
 PER_LABEL = 2000
 DIMENSIONS, K, POWER, BLOCK = 64, 15, 8, 128
-CLASSES, HASHED, EXTRA = 24, 1024, 4
-WIDTH = CLASSES**2 + HASHED + EXTRA
+CLASSES, HASHED, WORDS, EXTRA = 24, 1024, 1024, 4
+WIDTH = CLASSES**2 + HASHED + WORDS + EXTRA
 
 
 def _classes() -> np.ndarray:
@@ -43,9 +44,9 @@ _CLASS = _classes()
 class Features:
     """Term counts of texts; word hashes are kept in a bounded dictionary."""
 
-    def __init__(self, limit: int = 100_000):
+    def __init__(self, limit: int = 16 << 20):
         self.seen: dict[bytes, int] = {}
-        self.limit = limit
+        self.held, self.limit = 0, limit  # bytes
 
     def __call__(self, text: bytes) -> np.ndarray:
         out = np.zeros(WIDTH, np.float32)
@@ -54,15 +55,18 @@ class Features:
             two = c[:-1] * CLASSES + c[1:]
             out[: CLASSES**2] = np.bincount(two, minlength=CLASSES**2)
             three = (two[:-1] * CLASSES + c[2:]) * 40503 >> 4 & HASHED - 1
-            out[CLASSES**2 : -EXTRA] = np.bincount(three, minlength=HASHED)
+            out[CLASSES**2 : CLASSES**2 + HASHED] = np.bincount(three, minlength=HASHED)
         words = text.lower().split()
         seen = self.seen
-        if len(seen) > self.limit:
+        if self.held > self.limit:
             seen.clear()
+            self.held = 0
         for w in set(words).difference(seen):
             seen[w] = xxhash.xxh3_64_intdigest(w)
+            self.held += len(w) + 150
         h = np.array([seen[w] for w in words], np.uint64)
         n = len(h)
+        out[-WORDS - EXTRA : -EXTRA] = np.bincount((h % np.uint64(WORDS)).astype(np.int64), minlength=WORDS)
         if n > 1:
             out[-1] = (h[1:] == h[:-1]).sum() * 5
         if n >= 5:
@@ -79,14 +83,9 @@ class Model:
 
     def __init__(self, counts: np.ndarray, labels: np.ndarray, prior: float):
         self.prior = prior
-        self.labels = labels.astype(np.float32)
-        self.idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))).astype(np.float32) + 1
-        x = self._weighted(counts)
-        if len(x):
-            _, axes = np.linalg.eigh((x.T @ x).astype(np.float64))
-            self.axes = axes[:, ::-1][:, :DIMENSIONS].astype(np.float32)
-        else:
-            self.axes = np.zeros((WIDTH, DIMENSIONS), np.float32)
+        self.labels = labels.astype(np.float64)
+        self.idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 1
+        self.axes = _axes(self._weighted(counts)) if len(counts) else np.zeros((WIDTH, DIMENSIONS))
         self.vectors = self.project(counts)
 
     def _weighted(self, counts: np.ndarray) -> np.ndarray:
@@ -101,10 +100,21 @@ class Model:
         if not len(self.labels):
             return np.full(len(counts), self.prior)
         k = min(K, len(self.labels))
-        sims = self.project(counts) @ self.vectors.T
-        near = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-        weights = np.maximum(np.take_along_axis(sims, near, 1), 0).astype(np.float64) ** POWER
-        return (((weights * self.labels[near]).sum(1) + 1e-3 * self.prior) / (weights.sum(1) + 1e-3)).clip(0, 1)
+        # rounded, a cosine does not depend on the other rows of its block; of equal ones the first go before
+        sims = np.round(self.project(counts) @ self.vectors.T, 9)
+        near = np.argpartition(np.arange(len(self.labels)) * 1e-14 - sims, k - 1, axis=1)[:, :k]
+        near.sort(axis=1)
+        weights = np.maximum(np.take_along_axis(sims, near, 1), 0) ** POWER
+        return np.round((((weights * self.labels[near]).sum(1) + 1e-3 * self.prior) / (weights.sum(1) + 1e-3)).clip(0, 1), 7)
+
+
+def _axes(x: np.ndarray) -> np.ndarray:
+    """The right singular vectors of the greatest singular values, by subspace iteration from a fixed start."""
+    y = x @ np.random.Generator(np.random.PCG64(1)).standard_normal((x.shape[1], min(2 * DIMENSIONS, len(x))))
+    for _ in range(5):
+        y = np.linalg.qr(x @ (x.T @ y))[0]
+    axes = np.linalg.svd(y.T @ x, full_matrices=False)[2][:DIMENSIONS].T
+    return np.pad(axes, ((0, 0), (0, DIMENSIONS - axes.shape[1])))
 
 
 @frugal
@@ -183,6 +193,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 
 def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", label_id: str = "doc_id") -> DataFrame:
-    """The rows of docs, all columns, that the classifier predicts to be of label 1."""
+    """The rows of docs, all columns, that the classifier predicts to be of label 1.
+
+    Null and empty texts, null ids, repeated rows and an empty table are judged as
+    quality_scores has them; columns of whatever names go along. Without any labels
+    every row stays.
+    """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col, label_col, label_id))
     return docs.mapInArrow(_accepted(model, text_col), docs.schema)
