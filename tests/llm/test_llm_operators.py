@@ -271,6 +271,37 @@ def test_quality_scores(spark, docs, labels):
     assert quality.accepted(docs, labels).columns == docs.columns
 
 
+def test_quality_votes_against_a_plain_version():
+    r = random.Random(12)
+    texts = [prose(r.randint(1, 60), k) if k % 3 else prose(5, k) * 4 + "!!! $$$" for k in range(60)]
+    texts += texts[:25]  # ties
+    features = quality.Features()
+    counts = np.stack([features(t.encode()) for t in texts])
+    model = quality.Model(counts, np.array([float(k % 3 > 0) for k in range(len(texts))]), 0.6)
+    asked = [*texts[:20], *(prose(30, 500 + k) for k in range(20)), "", "x"]
+    got = quality._scores(model, [t.encode() for t in asked], quality.Features(limit=100))
+
+    def vector(t):
+        c = features(t.encode()).tolist()
+        total = max(sum(c), 1)
+        w = [math.sqrt(x / total) * i for x, i in zip(c, model.idf.tolist(), strict=True)]
+        v = [math.fsum(a * b for a, b in zip(w, axis, strict=True) if a) for axis in model.axes.T.tolist()]
+        size = max(math.sqrt(math.fsum(x * x for x in v)), 1e-9)
+        return [x / size for x in v]
+
+    held = [vector(t) for t in texts]
+    for t, score in zip(asked, got.tolist(), strict=True):
+        v = vector(t)
+        sims = [round(math.fsum(a * b for a, b in zip(v, h, strict=True)), 9) for h in held]
+        near = sorted(range(len(held)), key=lambda k: (-sims[k], k))[: quality.K]
+        weights = [max(sims[k], 0) ** quality.POWER for k in near]
+        want = (sum(w * model.labels[k] for w, k in zip(weights, near, strict=True)) + 1e-3 * 0.6) / (sum(weights) + 1e-3)
+        assert abs(score - want) < 1e-6, t
+    # the same text has the same score in a block of any size
+    assert all((quality._scores(model, [t.encode()] * n, quality.Features()) == s).all() for t, s in zip(asked, got, strict=True) for n in (1, 2, 130))
+    assert np.allclose(model.axes.T @ model.axes, np.eye(quality.DIMENSIONS), atol=1e-6)
+
+
 def test_quality_on_held_out_labels(spark):
     d = "/root/testdata/sf0.01"
     got = table(quality.quality_scores(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")))
@@ -415,9 +446,53 @@ def test_entropies_and_selection_against_plain_versions():
     levels = digests.entropies(data)
     want = [int((6 - sum(c * math.log2(c) for c in Counter(data[i : i + 64].tolist()).values()) / 64) / 6 * 1023) for i in range(len(data) - 63)]
     assert np.abs(levels - want).max() <= 1
-    ranks = (levels * 7919) % 1024
-    points = Counter(i + int(ranks[i : i + 64].argmin()) for i in range(len(ranks) - 63))
-    assert digests.selected(ranks).tolist() == sorted(k for k, v in points.items() if v >= 16)
+    for n in (1, 3, 4, 9, 34, 64, 100, 255, 256, len(levels)):
+        ranks = (levels[:n] * 7919) % 1024
+        run = min(64, max(1, 2 ** int(math.log2(max(n // 4, 1)))))
+        points = Counter(i + int(ranks[i : i + run].argmin()) for i in range(n - run + 1))
+        least = min(max(1, run // 4), max(points.values()))
+        want = sorted(k for k, v in points.items() if v >= least)
+        assert digests.selected(ranks).tolist() == (want if least == max(1, run // 4) else want[:1])
+
+
+def plain_likeness(x, y):
+    """The normalised overlap of digests, bit by bit."""
+    size = digests.BITS // 8 + 2
+    a, b = sorted(([(int.from_bytes(d[k : k + size - 2], "big"), int.from_bytes(d[k + size - 2 : k + size], "big")) for k in range(0, len(d), size)] for d in (x, y)), key=len)
+    if x == y or not a or not b:
+        return float(x == y)
+
+    def one_way(a, b):
+        total = 0.0
+        for p, n in a:
+            best = 0.0
+            for q, _ in b:
+                most, chance = min(p.bit_count(), q.bit_count()), p.bit_count() * q.bit_count() / digests.BITS
+                floor = 0.7 * chance + 0.3 * most
+                best = max(best, min(1.0, ((p & q).bit_count() - floor) / max(most - floor, 1e-9)))
+            total += n * best
+        return total / sum(n for _, n in a)
+
+    return one_way(a, b) if len(a) < len(b) else (one_way(a, b) + one_way(b, a)) / 2
+
+
+def test_likeness_against_a_plain_version():
+    make = digests.Fingerprinter((np.arange(digests.LEVELS) * 389) % digests.LEVELS)
+    texts = [prose(n, n) for n in (2, 9, 12, 20, 60, 700, 3000)]
+    texts += [edited(t, 0.05, 4) for t in texts] + [t[: len(t) * 3 // 4] for t in texts] + ["", "x", texts[5] + texts[6]]
+    found = [make(t.encode()) for t in texts]
+    for x in found:
+        for y in found:
+            assert digests.likeness(x, y) == digests.likeness(y, x)
+            assert abs(digests.likeness(x, y) - plain_likeness(x, y)) < 1e-9
+
+
+def test_short_texts_are_like_their_edits():
+    make = digests.Fingerprinter((np.arange(digests.LEVELS) * 389) % digests.LEVELS)
+    for n in (30, 60, 64, 97, 127, 130, 200, 400):
+        text = prose(200, n).encode()[:n]
+        near = digests.likeness(make(text), make(text[: n - n // 10] + prose(200, n + 1).encode()[: n // 10]))
+        assert near > 0.3 and digests.likeness(make(text), make(prose(200, n + 2).encode()[:n])) < 0.1, n
 
 
 def test_likeness_orders_edits():
@@ -493,30 +568,54 @@ def test_licenses(spark):
     assert licenses.license_labels(df.limit(0)).count() == 0
 
 
+def plain_matches(words):
+    """(labels, greatest containment) over every block of every length."""
+    labels, score = set(), 0.0
+    for t in licenses.TEMPLATES:
+        whole = licenses.words_of(t.text.encode())
+        wanted, needs, bars = set(whole), {x.encode() for x in t.needs}, {x.encode() for x in t.bars}
+        for i in range(len(words)):
+            block = set()
+            for j in range(i, min(len(words), i + math.ceil(1.5 * len(whole)))):
+                block.add(words[j])
+                if block & bars:
+                    break
+                if needs <= block and 5 * len(block & wanted) >= 4 * len(wanted):
+                    labels.add(t.label)
+                    score = max(score, len(block & wanted) / len(wanted))
+    return labels, score
+
+
 def test_license_join_misses_nothing():
     r = random.Random(6)
-    vocabulary = sorted({w for _, t in licenses.TEMPLATES for w in licenses.words_of(t.encode())})
-    join = licenses.Join(licenses.TEMPLATES, {w: r.randint(0, 5) for w in vocabulary})
-    for _ in range(400):
-        t = r.choice(join.sets)
-        block = set(r.sample(sorted(t), r.randint(len(t) // 2, len(t)))) | set(r.sample(vocabulary, r.randint(0, 10)))
-        want = {(n, len(x & block) / len(x)) for n, x in enumerate(join.sets) if len(x & block) >= join.need[n]}
-        assert set(join.matches(block)) == want
-
-
-def test_license_scan_keeps_every_match(spark):
-    text = {label: t for label, t in licenses.TEMPLATES}
-    gpl, bsd, mit = text["gpl"], text["bsd"].replace("binary", "compiled"), text["mit"].replace("charge", "cost")
-    rows = [(0, f"{gpl} {bsd} {mit}"), (1, f"{gpl}\n{bsd[:40]}\n{bsd[40:]} {mit}"), (2, text["gpl-3"] + " " + bsd), (3, text["cc-by"] + " " + mit), (4, text["gpl-2"] + " or 3 " + bsd)]
-    got = table(licenses.license_labels(spark.createDataFrame(rows, "doc_id long, text string")))
-    assert [got[i].labels for i in range(5)] == ["bsd,gpl,mit", "bsd,gpl,mit", "bsd,gpl-3", "cc-by,mit", "bsd,gpl-2,gpl-3"]
-    r = random.Random(8)
-    join = licenses.Join(licenses.TEMPLATES, {})
-    for _ in range(300):
-        block = set().union(*(r.sample(sorted(t), r.randint(3 * len(t) // 4, len(t))) for t in r.sample(join.sets, 3)))
-        reached = {n: len(x & block) / len(x) for n, x in enumerate(join.sets) if len(x & block) >= join.need[n]}
-        rival = lambda n: max((c for m, c in reached.items() for f in licenses.FAMILIES if {join.labels[n], join.labels[m]} <= f), default=0)
-        assert join.scan(b" ".join(block)) == ({join.labels[n] for n, c in reached.items() if c >= rival(n)}, max(reached.values(), default=0.0))
+    vocabulary = sorted({w for t in licenses.TEMPLATES for w in licenses.words_of(t.text.encode())})
+    some = 0
+    for trial in range(120):
+        join = licenses.Join(licenses.TEMPLATES, {w: r.randint(0, 5) for w in vocabulary})
+        words = []
+        for t in r.sample(licenses.TEMPLATES, 3):
+            words += [w for w in licenses.words_of(t.text.encode()) for w in ([] if r.random() < 0.1 else [r.choice(vocabulary), w] if r.random() < 0.1 else [w])]
+            words += r.choices([*vocabulary, b"xyzzy"], k=r.randint(0, 30))
+        labels, score = plain_matches(words)
+        assert join.scan(words) == (labels, score)
+        some += len(labels)
+    assert some > 150
+
+
+def test_license_scan_keeps_every_match_and_names_no_other(spark):
+    text = {t.label: t.text for t in reversed(licenses.TEMPLATES)}
+    gpl, bsd = text["gpl"], licenses.TEMPLATES[15].text.replace("binary", "compiled")
+    mit = licenses.TEMPLATES[1].text.replace("charge", "cost")
+    cases = [
+        (f"{gpl} {bsd} {mit}", "bsd,gpl,mit"), (f"{gpl}\n{bsd[:40]}\n{bsd[40:]} {mit}", "bsd,gpl,mit"), (text["gpl-3"] + " " + bsd, "bsd,gpl-3"), (text["cc-by"] + " " + mit, "cc-by,mit"),
+        ("released under the bsd license", "bsd"), ("released under the new license", ""), ("licensed under the license version 2.0", ""), ("Licensed under the Apache License 2.0", "apache-2"),
+        (text["gpl-3"] + ", or the Apache License, Version 2.0", "apache-2,gpl-3"), (text["cc-by-sa"], "cc-by-sa"), (text["lgpl"], "lgpl"), (text["agpl"], "agpl"), ("under the " + prose(60, 1) + " license released mit", ""),
+    ]
+    df = spark.createDataFrame([(i if i else None, x) for i, (x, _) in enumerate(cases)] + [(3, cases[3][0])], "doc_id long, text string")
+    got = licenses.license_labels(df).collect()
+    assert len(got) == len(cases) + 1
+    for r in got:
+        assert r.labels == cases[r.doc_id or 0][1], cases[r.doc_id or 0][0]
 
 
 def test_near_dedup_judges_rows(spark):
