@@ -40,12 +40,14 @@ _ALNUM = _LOWER + _UPPER + _DIGIT
 FORMATS: dict[str, list] = {
     "aws_access": ["AKIA", (_UPPER + "234567", 16, 16)],
     "hex_digest": [("0123456789abcdef", 32, 40)],
-    "hex_password": [("0123456789abcdef", 18, 18)],
     "github": ["ghp_", (_ALNUM, 36, 36)],
     "gitlab": ["glpat-", (_ALNUM + "_-", 20, 20)],
     "slack": ["xoxb-", (_DIGIT, 11, 13), "-", (_DIGIT, 11, 13), "-", (_ALNUM, 24, 24)],
     "google": ["AIza", (_ALNUM + "_-", 35, 35)],
     "stripe": ["sk_live_", (_ALNUM, 24, 32)],
+    "npm": ["npm_", (_ALNUM, 36, 36)],
+    "digitalocean": ["dop_v1_", ("0123456789abcdef", 64, 64)],
+    "huggingface": ["hf_", (_LOWER + _UPPER, 34, 34)],
 }
 
 
@@ -186,7 +188,7 @@ class Scanner:
 
     def __init__(self):
         # formats without a literal prefix are read by class from the start
-        self.formats = {name: Automaton(tokens, PREFIX if isinstance(FORMATS[name][0], str) else 0) for name, tokens in labelled_credentials().items()}
+        self.formats = {name: Automaton(tokens, min(PREFIX, len(FORMATS[name][0])) if isinstance(FORMATS[name][0], str) else 0) for name, tokens in labelled_credentials().items()}
         self.ordinary = Automaton(labelled_ordinary(), 0)
         self.begins = [(parts[0][:PREFIX], self.formats[name]) for name, parts in FORMATS.items() if isinstance(parts[0], str)]
 
@@ -315,5 +317,10 @@ def _masked(scanner, text_col: str, mask: str):
 
 
 def masked(docs: DataFrame, text_col: str = "text", mask: str = "<secret>") -> DataFrame:
-    """All rows and columns of docs, with every secret in the text replaced by the mask; null texts stay null."""
+    """All rows and columns of docs, with every secret in the text replaced by the mask.
+
+    Secrets that overlap are replaced as one. Null texts stay null and empty ones empty;
+    null ids and repeated rows are rows like any other; columns of whatever names go
+    along; an empty table gives an empty result.
+    """
     return docs.mapInArrow(_masked(_learnt(docs), text_col, mask), docs.schema)
