@@ -27,8 +27,6 @@ WINDOW = 5
 LADDER = [0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5]
 RULES = ["symbol_share", "dup_line_share", "repeat_share", "upper_share", "bang_share"]
 RISK, DELTA = 0.05, 0.05
-#: Terms of a binomial tail that are added one by one; what follows them is bounded by a geometric series.
-TERMS = 400
 
 
 def let(x: Column, f: Callable[[Column], Column]) -> Column:
@@ -92,18 +90,17 @@ def log_gamma(x: Column) -> Column:
 def tail(x: Column, n: Column, p: Column) -> Column:
     """P(Binomial(n, p) <= x), from the term at x downwards (each is the one above it times a ratio); for x below n * p.
 
-    Terms beyond TERMS are replaced by a geometric series that bounds them, so the
-    result is exact or too large, never too small.
+    i steps down, a term is at most exp(-i * i / (2 * n * p + i)) of the first: beyond
+    10 * sqrt(n * p) + 100 steps all of them together are less than a rounding error.
     """
     top = F.exp(log_gamma(n + 1.0) - log_gamma(x + 1.0) - log_gamma(n - x + 1.0) + x * F.ln(p) + (n - x) * F.ln(1 - p))
-    count = F.least(x, F.lit(TERMS)).cast("int")
+    count = F.least(x, 10 * F.sqrt(n * p) + 100).cast("int")
     start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
     # k = x - i: the ratio of the term at k - 1 to that at k
     ratio = lambda k: k / (n - k + 1.0) * (1 - p) / p
     step = lambda a, i: F.struct((a["term"] * ratio(x - i)).alias("term"), (a["sum"] + a["term"] * ratio(x - i)).alias("sum"))
     summed = F.aggregate(F.when(count > 0, F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0)))).otherwise(F.array().cast("array<int>")), start, step)
-    rest = F.when(x > TERMS, summed["term"] * ratio(x - TERMS) / (1 - F.least(ratio(x - TERMS), F.lit(0.999999)))).otherwise(0.0)
-    return top * (summed["sum"] + rest)
+    return top * summed["sum"]
 
 
 def cutoffs(features: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
