@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 STEP_BYTES = 4 << 20
 #: Bytes of an Arrow batch between the JVM and Python.
 BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,8 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Let an Arrow batch hold 8 MB at most: rows are texts of any length, and a batch is held by the JVM and by Python at once."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    """Let an Arrow batch hold 8 MB at most where the session says nothing about it: rows are texts of any length, and a batch is held by the JVM and by Python at once.
+
+    The setting stays in the session, since the plans that need it run later.
+    """
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
 
 
 def frugal(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -62,25 +62,27 @@ _SEEDS = _mix(np.arange(1, WORDS + 2, dtype=np.uint64) * _MIX[1])
 
 
 class Shingler:
-    """Sorted distinct 64-bit shingle hashes of a text. Word hashes are kept in a bounded dictionary."""
+    """Sorted distinct 64-bit shingle hashes of a text. Word hashes are kept in a dictionary of bounded bytes."""
 
-    def __init__(self, limit: int = 100_000):
+    def __init__(self, limit: int = 16 << 20):
         self.seen: dict[bytes, int] = {}
-        self.limit = limit
+        self.held, self.limit = 0, limit
 
     def __call__(self, text: bytes) -> np.ndarray:
         words = text.lower().split()  # bytes: only A-Z change, only 0x20 and 0x09-0x0D separate
         if not words:
             return np.empty(0, np.uint64)
         seen = self.seen
-        if len(seen) > self.limit:
+        if self.held > self.limit:
             seen.clear()
+            self.held = 0
         try:
             h = np.array([seen[w] for w in words], np.uint64)
         except KeyError:
             for w in words:
                 if w not in seen:
                     seen[w] = xxhash.xxh3_64_intdigest(w)
+                    self.held += len(w) + 150
             h = np.array([seen[w] for w in words], np.uint64)
         k = min(WORDS, len(h))
         n = len(h) - k + 1
