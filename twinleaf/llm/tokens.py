@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,8 +13,20 @@ from twinleaf.llm.common import bound_batches, frugal, quiet_threads, raw, steps
 
 #: Bytes that one call of the library takes.
 CALL_BYTES = 1 << 20
-#: Pieces whose lengths a worker remembers; beyond that it starts anew.
-REMEMBERED = 500_000
+#: Bytes of pieces whose lengths a task remembers; beyond that it starts anew.
+REMEMBERED = 96 << 20
+
+
+@functools.lru_cache(maxsize=2)
+def _tokenizer(path: str):
+    """The file's tokenizer, read once by each worker."""
+    quiet_threads()
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(path)
+    found.no_padding()
+    found.no_truncation()
+    return found
 
 
 def _counter(path: str, limit: int):
@@ -27,13 +40,9 @@ def _counter(path: str, limit: int):
 
     @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        quiet_threads()
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_padding()
-        tokenizer.no_truncation()
+        tokenizer = _tokenizer(path)
         known: dict[bytes, int] = {}
+        remembered = 0
 
         def learn(pieces: list[bytes]) -> None:
             for piece, e in zip(pieces, tokenizer.encode_batch_fast([x.decode() for x in pieces], add_special_tokens=False), strict=True):
@@ -43,9 +52,11 @@ def _counter(path: str, limit: int):
             texts = raw(batch.column(1))
             split = [t.split() for t in texts]
             new = set().union(*split).difference(known)
-            if len(known) + len(new) > REMEMBERED:
+            if remembered > REMEMBERED:
                 known.clear()
                 new = set().union(*split)
+                remembered = 0
+            remembered += sum(map(len, new)) + 120 * len(new)
             call, held = [], 0
             for piece in new:
                 call.append(piece)
