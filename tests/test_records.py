@@ -137,8 +137,11 @@ def test_verdict_files(spark, tmp_path):
     (tmp_path / "batch_0001.jsonl").write_text('\n{"pair_id": "p", "verdict": "duplicate", "reason": "a"}\nnot json\n[1]\n{"pair_id": ""}\n{"pair_id": "q", "verdict": "wrong"}\n', encoding="utf-8")
     (tmp_path / "batch_0002.jsonl").write_text('{"pair_id": "p", "verdict": "uncertain", "reason": null}\n{"pair_id": "z", "verdict": "duplicate"}\n', encoding="utf-8")
     got = exchange.last_verdicts(files.read_verdicts(spark, str(tmp_path)))
-    assert {(r.pair_id, r.verdict, r.reason) for r in got.collect()} == {("p", "uncertain", None), ("z", "duplicate", None)}
-    assert files.read_verdicts(spark, str(tmp_path), [1]).count() == 1
+    assert {(r.pair_id, r.verdict, r.reason) for r in got.collect()} == {("p", "uncertain", None), ("z", "duplicate", "")}
+    assert files.read_verdicts(spark, str(tmp_path), spark.createDataFrame([(1,), (7,)], "batch_id int")).count() == 1
+    (tmp_path / "batch_x.jsonl").write_text("", encoding="utf-8")
+    assert sorted(r.batch_id for r in files.answered_batches(spark, str(tmp_path)).collect()) == [1, 2]
+    assert files.answered_batches(spark, str(tmp_path / "none")).count() == 0
     assert files.read_verdicts(spark, str(tmp_path / "none")).count() == 0
     candidates = spark.createDataFrame([("p", "1", "2", 0.9, "x"), ("r", "1", "3", 0.8, "x")], "pair_id string, a_id string, b_id string, score double, tier string")
     merged = {r.pair_id: (r.verdict, r.reason) for r in exchange.merge_verdicts(candidates, got).collect()}
@@ -146,6 +149,48 @@ def test_verdict_files(spark, tmp_path):
     assert [r.pair_id for r in exchange.pending_pairs(candidates, got).collect()] == ["r"]
 
 
+def test_verdict_lines_are_strict(spark):
+    good = '{"pair_id": "p", "verdict": "duplicate"}'
+    bad = [good + " xyz", f"{good} {good}", f"{good}, {good}", f"{good}] {good}", f'{good}, "y": 1', "{'pair_id': 'p', 'verdict': 'duplicate'}", '{"pair_id": 5, "verdict": "duplicate"}', '{"pair_id": "p", "pair_id": "q"}', good[:-1], "[]", "3", "null", "", "\xa0"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate([good, f"\xa0\u2003{good}\t", *bad, '{"pair_id": "p", "verdict": 1, "reason": {"a": 1}}'])] + [(-1, None)], "n int, value string")
+    got = sorted(tuple(r) for r in files.parse_verdicts(df).collect())
+    assert got == [(0, "p", "duplicate", ""), (1, "p", "duplicate", ""), (2 + len(bad), "p", None, '{"a":1}')]
+    text = good + "\r\n" + good + "\x85\u2028" + good + "\x1c" + good + "\x0b\x0c" + good
+    assert len(text.splitlines()) == spark.createDataFrame([(text,)], "value string").select(F.split("value", r"\R|[\x{0B}\x{0C}\x{1C}-\x{1E}]").alias("x")).first().x.__len__()
+
+
+def test_batch_files(spark, tmp_path):
+    schema = "pair_id string, a_id string, b_id string, score double, tier string"
+    df = spark.createDataFrame([(f"p{i:02}", "T-000", "T-001", 0.5 + (i % 3) / 10, "candidate") for i in range(7)], schema)
+    (tmp_path / "batch_0009.json").write_text("old", encoding="utf-8")
+    rows = feature_rows(spark, ["x", "y"])
+    for _ in range(2):
+        files.write_batches(exchange.hydrated(exchange.batches(df, Config(batch_size=3)), rows), str(tmp_path))
+        assert sorted(x.name for x in tmp_path.iterdir() if not x.name.startswith(".")) == ["batch_0001.json", "batch_0002.json", "batch_0003.json"]
+    first = json.loads((tmp_path / "batch_0001.json").read_text(encoding="utf-8"))
+    assert first["batch_id"] == 1 and [p["pair_id"] for p in first["pairs"]] == ["p02", "p05", "p01"]
+    assert first["pairs"][0] == {"pair_id": "p02", "score": 0.7, "tier": "candidate", "a": {"id": "T-000", "section": "s", "name": "x", "transfer_types": ["card"]}, "b": {"id": "T-001", "section": "s", "name": "y", "transfer_types": ["card"]}}
+    assert exchange.progress(exchange.manifest(exchange.batches(df, Config(batch_size=3)))).first().asDict() == {"total_batches": 3, "total_pairs": 7}
+
+
+def test_lemma_tables(spark, tmp_path):
+    from twinleaf.functions.text import Dictionary
+    from twinleaf.operators.lemmas import Remembered
+
+    (tmp_path / "l.json").write_text('{"b": "a", "c": "d"}', encoding="utf-8")
+    (tmp_path / "bad.json").write_text('{"b": "a"', encoding="utf-8")
+    (tmp_path / "bad").write_text("x", encoding="utf-8")
+    assert sorted(map(tuple, files.read_lemmas(spark, str(tmp_path / "l.json")).collect())) == [("b", "a"), ("c", "d")]
+    assert all(files.read_lemmas(spark, str(tmp_path / x)).count() == 0 for x in ("bad.json", "bad", "none"))
+    path = str(tmp_path / "lemmas")
+    df = spark.createDataFrame([("1", ["bs", "x", "bs"]), ("2", [])], "id string, w array<string>")
+    for analyse in (lambda t: t.rstrip("s") if t.endswith("s") else None, lambda t: "never"):  # the second time no token is asked for
+        made = Remembered(spark, path, analyse)
+        assert {r.id: r.w for r in made.apply(df, "w").collect()} == {"1": ["b", "x", "b"], "2": []}
+    assert sorted(map(tuple, files.read_lemmas(spark, path).collect())) == [("bs", "b"), ("x", "x")]
+    assert Dictionary(files.read_lemmas(spark, path)).digest() != Dictionary(files.read_lemmas(spark, str(tmp_path / "l.json"))).digest()
+
+
 def test_components(spark):
     df = spark.createDataFrame([(1, 2), (2, 3), (3, 3), (5, 4), (4, 5), (None, 1)] + [(100 + i, 101 + i) for i in range(40)], "a_id long, b_id long")
     got = {r.node: r.component for r in components.connected_components(df).collect()}
@@ -183,9 +228,13 @@ def test_rare_terms_find_every_pair_above_the_threshold(spark):
 
     rng = random.Random(2)
     rows = [([f"b{i % 2}"], f"{i:03}", " ".join(rng.choices([f"w{int(40 * rng.random() ** 2)}" for _ in range(30)], k=6))) for i in range(60)]
-    weighted = similarity.weights(spark.createDataFrame(rows, "block array<string>, id string, text string"), word_grams(F.col("text"))).cache()
+    items, grams = spark.createDataFrame(rows, "block array<string>, id string, text string"), word_grams(F.col("text"))
+    weighted, found = similarity.weights(items, grams).cache(), similarity.vectors(items, grams).cache()
+    long = {(r.id, t["term"]): t["w"] for r in found.collect() for t in r.terms}
+    assert long == pytest.approx({(r.id, r.term): r.w for r in weighted.collect()})
+    records = found.select("block", "id", similarity.shared_terms(F.col("terms")).alias("sim"))
     for least in (0.05, 0.1, 0.2):
         want = {(r.a_id, r.b_id): r.sim for r in similarity.cosine_pairs(weighted).collect() if r.sim >= least + 1e-6}
-        found = similarity.likely_pairs(weighted, least)
-        got = {(r.a_id, r.b_id): r.sim for r in similarity.cosines_of(found, weighted, "sim").collect()}
+        some = similarity.likely_pairs(found, least).distinct()
+        got = {(r.a_id, r.b_id): r.sim for r in similarity.cosines_of(some, records, ["sim"]).collect()}
         assert want.keys() <= got.keys() and all(abs(got[k] - v) < 1e-9 for k, v in want.items()) and want

@@ -37,10 +37,13 @@ def test_pipeline_with_stand_ins(spark, work):
     labels = classify.rule_labels(run.split()[1]).drop("pos").toPandas().to_dict("records")
     (work / "section_labels.json").write_text(json.dumps({"sections": [{**x, "transfer_types": list(x["transfer_types"])} for x in labels]}), encoding="utf-8")
     assert run.run(given) == NEEDS_VERDICTS
+    assert sorted(x.name for x in (work / "batches").iterdir() if not x.name.startswith(".")) == ["batch_0001.json"]
     answers = exchange.rule_verdicts(run.table("candidates"), run.table("features")).collect()
     (work / "verdicts").mkdir()
-    (work / "verdicts/batch_0001.jsonl").write_text("".join(json.dumps({"pair_id": r.pair_id, "verdict": r.verdict, "reason": r.reason}) + "\n" for r in answers), encoding="utf-8")
+    (work / "verdicts/batch_0001.jsonl").write_text("".join(json.dumps({"pair_id": r.pair_id, "verdict": r.verdict, "reason": r.reason}) + "\n" for r in answers) + '{"pair_id": "p_K-1__K-2"} oops\n', encoding="utf-8")
+    (work / "verdicts/batch_0044.jsonl").write_text(json.dumps({"pair_id": answers[0].pair_id, "verdict": "uncertain"}), encoding="utf-8")  # not in the manifest
     assert run.run(given) == DONE
+    assert [r.id for r in run.table("features").collect()] == sorted(r[0] for r in ROWS) and run.meta("features")["count"] == len(ROWS)
     members = sorted(r.member_ids for r in run.table("groups").collect())
     assert members == [["K-1", "K-2"], ["K-4", "K-5"], ["K-6", "K-7"]]
     text = (work / "duplicates_report.md").read_text(encoding="utf-8")
@@ -50,12 +53,31 @@ def test_pipeline_with_stand_ins(spark, work):
     other = Pipeline(spark, str(work), config=run.config.__class__(top_k=1), lemmatizer=Literal(LEMMAS))
     other.run(given)
     assert "candidates" in other.ran  # settings are part of the key
+    changed = Pipeline(spark, str(work), lemmatizer=Literal({}))
+    changed.classify_auto()
+    assert "classified" in changed.ran  # so is the lemmatizer
     run.clean()
     assert not (work / "groups").exists() and (work / "verdicts").exists() and (work / "in.tsv").exists()
     run.clean(deep=True)
     assert not (work / "verdicts").exists()
 
 
+def test_pipeline_with_a_labeller_and_an_arbiter(spark, work):
+    (work / "lemmas.json").write_text(json.dumps(LEMMAS), encoding="utf-8")
+    run = Pipeline(spark, str(work), labeller=classify.rule_labels, arbiter=exchange.rule_verdicts)
+    assert run.run(str(work / "in.tsv")) == DONE
+    assert sorted(r.member_ids for r in run.table("groups").collect()) == [["K-1", "K-2"], ["K-4", "K-5"], ["K-6", "K-7"]]
+
+
+def test_a_verdict_file_with_bad_lines_opens_the_gate(spark, work):
+    run = Pipeline(spark, str(work), lemmatizer=Literal(LEMMAS), labeller=classify.rule_labels)
+    assert run.run(str(work / "in.tsv")) == NEEDS_VERDICTS
+    (work / "verdicts").mkdir()
+    (work / "verdicts/batch_0001.jsonl").write_text("oops\n", encoding="utf-8")
+    assert run.run(str(work / "in.tsv")) == DONE
+    assert {(r.verdict, r.reason) for r in run.table("verdicts_final").collect()} == {("uncertain", exchange.NO_VERDICT)}
+
+
 def test_command_line(spark, work, capsys):
     args = ["--input", str(work / "in.tsv"), "--work", str(work)]
     assert cli.main(["run-all", *args], spark) == 0
@@ -66,6 +88,8 @@ def test_command_line(spark, work, capsys):
     assert cli.main(["clean", "--deep", *args], spark) == 0
     with pytest.raises(SystemExit):
         cli.main(["unknown"], spark)
+    with pytest.raises(FileNotFoundError):
+        cli.main(["parse", *args, "--lemmas", str(work / "none")], spark)
 
 
 def test_verdict_stream_keeps_the_last(spark, tmp_path):
@@ -89,7 +113,7 @@ def compared(spark, name, query, sql, d="/root/testdata/sf0.001"):
     assert shown(map(tuple, got.select(*columns).collect())) == shown(want.project(", ".join(f'"{c}"' for c in columns)).fetchall()), name
 
 
-CHEAP = ["parse_records", "section_profile", "normalize_documents", "lemma_lookup", "label_extract", "merge_labels", "feature_table", "char_grams", "word_grams", "tfidf_weights", "token_set_ratios", "topk_union_ties", "verdict_parse", "candidates", "duplicate_groups"]
+CHEAP = ["parse_records", "section_profile", "normalize_documents", "lemma_lookup", "label_extract", "merge_labels", "feature_table", "char_grams", "word_grams", "tfidf_weights", "token_set_ratios", "topk_union_ties", "verdict_parse", "candidates", "duplicate_groups", "tsv_scan", "json_round_trip", "lemma_table", "section_labels", "lexicon_digests", "empty_vocabulary", "group_members", "group_evidence", "lookalike_pairs", "pending_pairs"]
 
 
 @pytest.mark.parametrize("name", CHEAP)

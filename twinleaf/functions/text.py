@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
@@ -49,10 +50,17 @@ class Lemmatizer(Protocol):
         """df with the array column's tokens replaced by their lemmas, order and repeats kept."""
 
 
+    def digest(self) -> str:
+        """Of what the lemmas depend on; part of the stages' cache keys."""
+
+
 class Identity:
     def apply(self, df: DataFrame, column: str) -> DataFrame:
         return df
 
+    def digest(self) -> str:
+        return "identity"
+
 
 class Dictionary:
     """Lemmas from a table (token, lemma).
@@ -69,6 +77,10 @@ class Dictionary:
         found = words.join(self.table, "token").groupBy(self.key).agg(F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("_lemmas"))
         return df.join(found, self.key, "left").withColumn(column, F.transform(column, lambda x: F.coalesce(F.try_element_at("_lemmas", x), x))).drop("_lemmas")
 
+    def digest(self) -> str:
+        row = self.table.agg(F.count("*"), F.sum(F.xxhash64("token", "lemma").cast("decimal(38,0)"))).first()
+        return f"table-{row[0]}-{row[1]}"
+
 
 class Literal:
     """Lemmas from a small Python dictionary, compiled into the plan."""
@@ -82,6 +94,9 @@ class Literal:
         table = F.create_map(*[F.lit(x) for pair in sorted(self.lemmas.items()) for x in pair])
         return df.withColumn(column, F.transform(column, lambda x: F.coalesce(F.try_element_at(table, x), x)))
 
+    def digest(self) -> str:
+        return "literal-" + hashlib.sha256(repr(sorted(self.lemmas.items())).encode()).hexdigest()[:16]
+
 
 def with_lemmas(df: DataFrame, text: str, out: str, lexicon: Lexicon, lemmatizer: Lemmatizer | None = None) -> DataFrame:
     """Add `out`: the text's lemmas; stopwords and single characters are dropped before and again after lemmatising."""

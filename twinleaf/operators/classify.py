@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Protocol
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,6 +77,12 @@ def merge_labels(classified: DataFrame, ambiguous: DataFrame, labels: DataFrame)
     return sure.unionByName(rest)
 
 
+class SectionLabeller(Protocol):
+    """Labels ambiguous sections: any of them, each row (section_path, category, transfer_types, confidence, reason, pos)."""
+
+    def __call__(self, ambiguous: DataFrame) -> DataFrame: ...
+
+
 def rule_labels(ambiguous: DataFrame) -> DataFrame:
     """A stand-in for the outside labeller: mixed stays mixed, labelled sections are transfer-type, others feature."""
     category = F.when(F.col("category") == "mixed", "mixed").when(F.size("transfer_types") > 0, "transfer-type").otherwise("feature")

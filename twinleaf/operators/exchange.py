@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Protocol
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,6 +54,11 @@ def manifest(batched: DataFrame) -> DataFrame:
     return batched.groupBy("batch_id").agg(F.count("*").alias("count")).select("batch_id", F.concat(name, F.lit(".json")).alias("file"), F.concat(name, F.lit(".jsonl")).alias("verdict_file"), "count")
 
 
+def progress(manifest: DataFrame) -> DataFrame:
+    """One row: total_batches, total_pairs."""
+    return manifest.agg(F.count("*").alias("total_batches"), F.coalesce(F.sum("count"), F.lit(0)).alias("total_pairs"))
+
+
 def last_verdicts(verdicts: DataFrame) -> DataFrame:
     """Of several verdicts of a pair, the last by batch and line."""
     order = Window.partitionBy("pair_id").orderBy(F.desc("batch_id"), F.desc("line_no"))
@@ -76,6 +83,12 @@ def missing_batches(manifest: DataFrame, answered: DataFrame) -> DataFrame:
     return manifest.join(answered.select("batch_id").distinct(), "batch_id", "left_anti")
 
 
+class PairArbiter(Protocol):
+    """Judges candidate pairs: any of them, each row (pair_id, verdict, reason, batch_id, line_no)."""
+
+    def __call__(self, candidates: DataFrame, features: DataFrame) -> DataFrame: ...
+
+
 def rule_verdicts(candidates: DataFrame, features: DataFrame, negative: list[str] | None = None, lower: float = Config.lower) -> DataFrame:
     """A stand-in for the outside arbiter: (pair_id, verdict, reason, batch_id, line_no).
 

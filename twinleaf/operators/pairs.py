@@ -9,7 +9,7 @@ from twinleaf.config import Config
 from twinleaf.functions.fuzzy import token_set
 from twinleaf.functions.ngrams import char_grams, word_grams
 from twinleaf.operators.features import block_key, text_or_name
-from twinleaf.operators.similarity import block_pairs, cosines_of, likely_pairs, weights
+from twinleaf.operators.similarity import block_pairs, cosines_of, likely_pairs, shared_terms, vectors
 from twinleaf.storage import cut
 
 
@@ -20,13 +20,16 @@ def items_of(features: DataFrame) -> DataFrame:
 
 def cosines(items: DataFrame, config: Config = Config()) -> DataFrame:
     """(block, a_id, b_id, tfidf_char, tfidf_word) of pairs that pass the prefilter."""
-    on, least = ["block", "a_id", "b_id"], config.prefilter * config.lower
-    char, word = cut(weights(items, char_grams(F.col("text")))), cut(weights(items, word_grams(F.col("text"))))
+    least = config.prefilter * config.lower
+    # both kinds of vectors in one go: a kind's blocks are blocks of their own
+    kinds = F.explode(F.array(F.struct(F.lit("char").alias("kind"), char_grams(F.col("text")).alias("grams")), F.struct(F.lit("word").alias("kind"), word_grams(F.col("text")).alias("grams"))))
+    apart = items.select("block", "id", kinds.alias("k")).select(F.struct("k.kind", "block").alias("block"), "id", F.col("k.grams").alias("grams"))
+    found = cut(vectors(apart, F.col("grams")))
     # without a threshold, pairs that share nothing pass too
-    some = cut(likely_pairs(char, least).union(likely_pairs(word, least)).distinct() if least > 0 else block_pairs(items))
-    both = some.join(cosines_of(some, char, "tfidf_char"), on, "left").join(cosines_of(some, word, "tfidf_word"), on, "left")
-    both = both.select(*on, F.coalesce("tfidf_char", F.lit(0.0)).alias("tfidf_char"), F.coalesce("tfidf_word", F.lit(0.0)).alias("tfidf_word"))
-    return both.where(F.greatest("tfidf_char", "tfidf_word") >= least)
+    some = likely_pairs(found, least).select("block.block", "a_id", "b_id").distinct() if least > 0 else block_pairs(items)
+    both = found.select("block.block", "id", "block.kind", shared_terms(F.col("terms")).alias("v"))
+    both = both.groupBy("block", "id").agg(*[F.first(F.when(F.col("kind") == k, F.col("v")), ignorenulls=True).alias(f"tfidf_{k}") for k in ("char", "word")])
+    return cosines_of(some, both, ["tfidf_char", "tfidf_word"]).where(F.greatest("tfidf_char", "tfidf_word") >= least)
 
 
 def scored(pairs: DataFrame, items: DataFrame, config: Config = Config()) -> DataFrame:

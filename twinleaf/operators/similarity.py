@@ -1,6 +1,7 @@
 """Block-local TF-IDF cosine by an inverted index: only pairs that share a term are ever formed.
 
-With a threshold, only pairs that share a rare enough term are: see prefixes().
+With a threshold, only pairs that share a rare enough term are (rare_terms), and a pair's
+cosine is taken from its two vectors at once.
 """
 
 from __future__ import annotations
@@ -9,18 +10,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def weights(items: DataFrame, grams: Column) -> DataFrame:
-    """(block, id, term, w) of items (block, id, ...): sublinear term frequency, smoothed idf of the block, unit length.
-
-    A block's size counts all its items, those without terms too.
-    """
+def _unscaled(items: DataFrame, grams: Column) -> DataFrame:
+    """(block, id, term, w, df) of items (block, id, ...): sublinear term frequency times smoothed idf of the block, whose size counts all its items."""
     sizes = items.groupBy("block").agg(F.count("*").alias("n"))
     tf = items.select("block", "id", F.explode(grams).alias("term")).groupBy("block", "id", "term").agg((1 + F.ln(F.count("*"))).alias("tf"))
     df = tf.groupBy("block", "term").agg(F.count("*").alias("df"))
+    return tf.join(df, ["block", "term"]).join(sizes, "block").select("block", "id", "term", (F.col("tf") * (F.ln((1 + F.col("n")) / (1 + F.col("df"))) + 1)).alias("w"), "df")
+
+
+def weights(items: DataFrame, grams: Column) -> DataFrame:
+    """(block, id, term, w, df): vectors of unit length, a row for each term. Items without terms count in their block's size."""
     # a term of one record weighs in its norm, so rare terms stay until the norm is known
-    w = tf.join(df, ["block", "term"]).join(sizes, "block").select("block", "id", "term", (F.col("tf") * (F.ln((1 + F.col("n")) / (1 + F.col("df"))) + 1)).alias("w"), "df")
-    norms = w.groupBy("block", "id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return w.join(norms, ["block", "id"]).select("block", "id", "term", (F.col("w") / F.col("norm")).alias("w"), "df")
+    w = _unscaled(items, grams)
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("block", "id")))
+    return w.select("block", "id", "term", (F.col("w") / norm).alias("w"), "df")
+
+
+def vectors(items: DataFrame, grams: Column) -> DataFrame:
+    """(block, id, terms): the same, a row for each record; terms are (df, term, w), the commonest in the block first."""
+    listed = _unscaled(items, grams).groupBy("block", "id").agg(F.sort_array(F.collect_list(F.struct("df", "term", "w")), asc=False).alias("terms"))
+    listed = listed.withColumn("norm", F.sqrt(F.aggregate("terms", F.lit(0.0), lambda s, x: s + x["w"] * x["w"])))
+    return listed.select("block", "id", F.transform("terms", lambda x: F.struct(x["df"].alias("df"), x["term"].alias("term"), (x["w"] / F.col("norm")).alias("w"))).alias("terms"))
 
 
 def cosine_pairs(weighted: DataFrame, name: str = "sim") -> DataFrame:
@@ -31,31 +41,47 @@ def cosine_pairs(weighted: DataFrame, name: str = "sim") -> DataFrame:
     return a.join(b, ["block", "term"]).where("a_id < b_id").groupBy("block", "a_id", "b_id").agg(F.sum(F.col("wa") * F.col("wb")).alias(name))
 
 
-def prefixes(weighted: DataFrame, least: float) -> DataFrame:
-    """Each record's terms, rarest in the block first, up to where the rest of its vector is shorter than `least`.
+def rare_terms(terms: Column, least: float) -> Column:
+    """A vector's terms, without the commonest ones as long as these are together shorter than `least`.
 
-    Two records of cosine `least` or more share one of these: were their first common
-    term, in this order, in the rest of either, all their common terms would be, and
-    the cosine at most that rest's length. So the commonest terms, whose pairs grow
+    Two records of cosine `least` or more share one of the rest: were their first common
+    term, rarest first, among the commonest of either, all their common terms would be,
+    and the cosine at most these terms' length. So the commonest terms, whose pairs grow
     with the square of their records, join nothing.
     """
-    rest = Window.partitionBy("block", "id").orderBy(F.desc("df"), F.desc("term"))
-    return weighted.withColumn("_rest", F.sum(F.col("w") * F.col("w")).over(rest.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("_rest") >= least * least - 1e-9).drop("_rest")
+    start = F.struct(F.lit(0.0).alias("length"), F.lit(0).alias("n"))
+    short = lambda s, x: s["length"] + x["w"] * x["w"] < least * least - 1e-9
+    dropped = F.aggregate(terms, start, lambda s, x: F.struct((s["length"] + x["w"] * x["w"]).alias("length"), (s["n"] + short(s, x).cast("int")).alias("n")))["n"]
+    return F.slice(terms, dropped + 1, F.greatest(F.size(terms) - dropped, F.lit(0)))
 
 
-def likely_pairs(weighted: DataFrame, least: float) -> DataFrame:
-    """(block, a_id, b_id) of all pairs a_id < b_id of cosine `least` or more, and some others."""
-    rare = prefixes(weighted, least).where("df > 1")
-    a, b = rare.select("block", "term", F.col("id").alias("a_id")), rare.select("block", "term", F.col("id").alias("b_id"))
-    return a.join(b, ["block", "term"]).where("a_id < b_id").select("block", "a_id", "b_id").distinct()
+def likely_pairs(found: DataFrame, least: float) -> DataFrame:
+    """(block, a_id, b_id) of all pairs a_id < b_id of vectors() with cosine `least` or more, and some others; pairs repeat."""
+    rare = found.select("block", "id", F.explode(rare_terms(F.col("terms"), least)).alias("t")).where("t.df > 1").select("block", F.col("t.term").alias("term"), "id")
+    a, b = rare.withColumnRenamed("id", "a_id"), rare.withColumnRenamed("id", "b_id")
+    return a.join(b, ["block", "term"]).where("a_id < b_id").select("block", "a_id", "b_id")
 
 
-def cosines_of(pairs: DataFrame, weighted: DataFrame, name: str) -> DataFrame:
-    """(block, a_id, b_id, name) of the given pairs that share a term."""
-    shared = weighted.where("df > 1")
-    a = shared.select("block", F.col("id").alias("a_id"), "term", F.col("w").alias("wa"))
-    b = shared.select("block", F.col("id").alias("b_id"), "term", F.col("w").alias("wb"))
-    return pairs.join(a, ["block", "a_id"]).join(b, ["block", "b_id", "term"]).groupBy("block", "a_id", "b_id").agg(F.sum(F.col("wa") * F.col("wb")).alias(name))
+def shared_terms(terms: Column) -> Column:
+    """The terms that another record has too, with their weights, as a map."""
+    return F.map_from_entries(F.transform(F.filter(terms, lambda x: x["df"] > 1), lambda x: F.struct(x["term"].alias("term"), x["w"].alias("w"))))
+
+
+def dot(a: Column, b: Column) -> Column:
+    """The product of two vectors; 0 if either is null."""
+    both = F.map_values(F.map_zip_with(a, b, lambda _, x, y: x * y))
+    return F.coalesce(F.aggregate(both, F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0))), F.lit(0.0))
+
+
+def cosines_of(pairs: DataFrame, records: DataFrame, names: list[str]) -> DataFrame:
+    """The given pairs (block, a_id, b_id) with their cosines in each of the named vectors of `records` (block, id, vectors).
+
+    A pair takes one row through the plan, whatever the length of its vectors.
+    """
+    for end in ("a", "b"):
+        ends = records.select("block", F.col("id").alias(f"{end}_id"), *[F.col(n).alias(f"_{end}_{n}") for n in names])
+        pairs = pairs.join(ends, ["block", f"{end}_id"], "left")
+    return pairs.select("block", "a_id", "b_id", *[dot(F.col(f"_a_{n}"), F.col(f"_b_{n}")).alias(n) for n in names])
 
 
 def block_pairs(items: DataFrame) -> DataFrame:

@@ -11,16 +11,20 @@ from pyspark.sql import functions as F
 
 from twinleaf.config import Config
 from twinleaf.functions.lexicon import RUSSIAN, Lexicon
-from twinleaf.functions.text import Lemmatizer
+from twinleaf.functions.text import Dictionary, Identity, Lemmatizer
 from twinleaf.operators import classify, exchange, features, groups, pairs
 from twinleaf.plans import report
 from twinleaf.sources import exchange as files
 from twinleaf.sources import records as source
-from twinleaf.storage import cut
+from twinleaf.storage import cut, remove
 
 NEEDS_SECTION_LABELS, NEEDS_VERDICTS, DONE = "NEEDS_SECTION_LABELS", "NEEDS_VERDICTS", "DONE"
 
 
+#: Stages and the columns by which their tables are sorted.
+STAGES = {"tests": "id", "sections": "section", "classified": "section_path", "sections_final": "section_path", "features": "id", "candidates": "pair_id", "batched": "pair_id", "verdicts_final": "pair_id", "groups": "member_ids"}
+
+
 def fingerprint(df: DataFrame) -> str:
     """A digest of a table's rows that does not depend on their order (and of nothing else, such as dates of writing)."""
     row = df.agg(F.count("*"), F.sum(F.xxhash64(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"})).cast("decimal(38,0)"))).first()
@@ -29,7 +33,12 @@ def fingerprint(df: DataFrame) -> str:
 
 @dataclass
 class Pipeline:
-    """Steps by name; each reads the tables of those before it from the work folder and writes its own."""
+    """Steps by name; each reads the tables of those before it from the work folder and writes its own, sorted.
+
+    Without a lemmatizer, lemmas come from the table `lemmas` (or `lemmas.json`) of the
+    work folder, if there is one. A labeller or an arbiter answers what otherwise
+    outside files have to.
+    """
 
     spark: SparkSession
     work: str
@@ -37,8 +46,15 @@ class Pipeline:
     lexicon: Lexicon = RUSSIAN
     lemmatizer: Lemmatizer | None = None
     force: bool = False
+    labeller: classify.SectionLabeller | None = None
+    arbiter: exchange.PairArbiter | None = None
     ran: list[str] = field(default_factory=list)
 
+    def __post_init__(self):
+        if self.lemmatizer is None:
+            found = [x for x in ("lemmas", "lemmas.json") if source.exists(self.spark, f"{self.work}/{x}")]
+            self.lemmatizer = Dictionary(files.read_lemmas(self.spark, f"{self.work}/{found[0]}")) if found else Identity()
+
     # ---- stored stages
 
     def path(self, name: str) -> str:
@@ -58,17 +74,19 @@ class Pipeline:
             return {}
 
     def stage(self, name: str, inputs: list[str], make) -> DataFrame:
-        """The stage's table: the stored one if inputs, lexicon and settings are what made it, else a new one.
+        """The stage's table: the stored one if inputs, lexicon, lemmatizer and settings are what made it, else a new one.
 
         inputs: fingerprints. The new table is finished before the old one goes.
         """
-        key = {"stage": name, "input_hash": "|".join(inputs), "lexicon_hash": self.lexicon.digest() + self.lexicon.stopwords_digest(), "config_hash": self.config.digest()}
+        key = {"stage": name, "input_hash": "|".join(inputs), "lexicon_hash": self.lexicon.digest() + self.lexicon.stopwords_digest(), "lemmatizer_hash": self.lemmatizer.digest(), "config_hash": self.config.digest()}
         held = self.meta(name)
         if self.force or any(held.get(k) != v for k, v in key.items()):
             made = cut(make())
-            made.write.mode("overwrite").parquet(self.path(name))
-            note = key | {"content": fingerprint(made), "created_at": datetime.now(UTC).isoformat()}
+            made.orderBy(STAGES[name]).write.mode("overwrite").parquet(self.path(name))
+            content = fingerprint(made)
+            note = key | {"content": content, "count": int(content.split("-")[0]), "created_at": datetime.now(UTC).isoformat()}
             report.write(self.spark, json.dumps(note, sort_keys=True, indent=2), self.path(f"{name}.meta.json"))
+            remove(self.spark, made)
             self.ran.append(name)
         return self.table(name)
 
@@ -90,8 +108,13 @@ class Pipeline:
     def split(self) -> tuple[DataFrame, DataFrame]:
         return classify.route(self.table("classified"), self.config)
 
+    def section_labels(self) -> DataFrame:
+        """Of the file, if it is there; else of the labeller, if there is one; else none."""
+        path = self.path("section_labels.json")
+        return self.labeller(self.split()[1]) if self.labeller and not source.exists(self.spark, path) else files.read_section_labels(self.spark, path)
+
     def classify_merge(self) -> DataFrame:
-        labels = files.read_section_labels(self.spark, self.path("section_labels.json"))
+        labels = self.section_labels()
         return self.stage("sections_final", [self.content("classified"), fingerprint(labels)], lambda: classify.merge_labels(*self.split(), labels))
 
     def features(self) -> DataFrame:
@@ -103,13 +126,23 @@ class Pipeline:
     def batch_pairs(self) -> DataFrame:
         batched = self.stage("batched", [self.content("candidates")], lambda: exchange.batches(self.table("candidates"), self.config))
         files.write_batches(exchange.hydrated(batched, self.table("features")), self.path("batches"))
-        exchange.manifest(batched).write.mode("overwrite").parquet(self.path("manifest"))
+        exchange.manifest(batched).orderBy("batch_id").write.mode("overwrite").parquet(self.path("manifest"))
         return batched
 
     def verdicts(self) -> DataFrame:
-        return files.read_verdicts(self.spark, self.path("verdicts"))
+        """Of the verdict files that the manifest names; the arbiter's, if there is one, for pairs of other batches."""
+        given = files.read_verdicts(self.spark, self.path("verdicts"), self.table("manifest"))
+        if self.arbiter:
+            open_ = self.table("batched").join(self.missing_batches().select("batch_id"), "batch_id", "left_semi")
+            given = given.unionByName(self.arbiter(open_, self.table("features")).select(*given.columns))
+        return given
+
+    def missing_batches(self) -> DataFrame:
+        """Rows of the manifest whose verdict file is not there."""
+        return exchange.missing_batches(self.table("manifest"), files.answered_batches(self.spark, self.path("verdicts")))
 
     def pending(self) -> DataFrame:
+        """Pairs without a verdict."""
         return exchange.pending_pairs(self.table("batched"), self.verdicts())
 
     def merge_verdicts(self) -> DataFrame:
@@ -125,17 +158,20 @@ class Pipeline:
         return text
 
     def run(self, path: str) -> str:
-        """All steps as far as outside answers allow: NEEDS_SECTION_LABELS, NEEDS_VERDICTS or DONE."""
+        """All steps as far as outside answers allow: NEEDS_SECTION_LABELS, NEEDS_VERDICTS or DONE.
+
+        Every batch needs a verdict file; pairs that it leaves out, or answers wrongly, are uncertain.
+        """
         self.parse(path)
         self.sections()
         self.classify_auto()
-        if not source.exists(self.spark, self.path("section_labels.json")) and not self.split()[1].isEmpty():
+        if not self.labeller and not source.exists(self.spark, self.path("section_labels.json")) and not self.split()[1].isEmpty():
             return NEEDS_SECTION_LABELS
         self.classify_merge()
         self.features()
         self.candidates()
         self.batch_pairs()
-        if not self.pending().isEmpty():
+        if not self.arbiter and not self.missing_batches().isEmpty():
             return NEEDS_VERDICTS
         self.merge_verdicts()
         self.cluster()
@@ -145,8 +181,7 @@ class Pipeline:
     def clean(self, deep: bool = False) -> None:
         """Remove what the steps made; the lemma table and outside answers stay unless deep, and so does the input."""
         fs_path = self.spark._jvm.org.apache.hadoop.fs.Path
-        names = ["tests", "sections", "classified", "sections_final", "features", "candidates", "batched", "verdicts_final", "groups"]
-        gone = [*names, *(f"{n}.meta.json" for n in names), "batches", "manifest", "duplicates_report.md", *(["lemmas", "section_labels.json", "verdicts"] if deep else [])]
+        gone = [*STAGES, *(f"{n}.meta.json" for n in STAGES), "batches", "manifest", "duplicates_report.md", *(["lemmas", "lemmas.json", "section_labels.json", "verdicts"] if deep else [])]
         for name in gone:
             p = fs_path(self.path(name))
             p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)

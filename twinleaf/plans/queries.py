@@ -6,6 +6,7 @@ Records are the pages: id is the page's id, the section is made of the address
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,8 @@ from twinleaf.functions.lexicon import PAGES, labels_of, marker_count, strip_lab
 from twinleaf.operators import classify, exchange, features, groups, pairs, similarity
 from twinleaf.plans.sql import LEMMAS, SQL
 from twinleaf.sources import records as source
-from twinleaf.sources.exchange import VERDICTS, parse_verdicts
-from twinleaf.storage import cut
+from twinleaf.sources.exchange import CATEGORIES, VERDICTS, parse_section_labels, parse_verdicts, read_lemmas, write_lemmas
+from twinleaf.storage import cut, shared_dir
 
 CONFIG = Config()
 NEGATIVE = ["st"]
@@ -60,11 +61,29 @@ def candidate_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def merged(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """(verdicts, features): the stand-in arbiter answers pairs of the high tier and a part of the others."""
+    """(verdicts, features): the stand-in arbiter answers two thirds of the pairs."""
     rows = cut(feature_rows(spark, d))
     found = cut(pairs.candidates(rows, CONFIG))
-    given = exchange.rule_verdicts(found.where("tier = 'high_confidence' or fuzz < 0.8"), rows, NEGATIVE, CONFIG.lower)
-    return exchange.merge_verdicts(found, given), rows
+    given = exchange.rule_verdicts(found.where("(cast(a_id as bigint) + cast(b_id as bigint)) % 3 <> 0"), rows, NEGATIVE, CONFIG.lower)
+    return cut(exchange.merge_verdicts(found, given)), rows
+
+
+def by_section(candidates: DataFrame, rows: DataFrame) -> DataFrame:
+    """An arbiter: pairs of unlike sections are of different types, every other of the rest of different functionality, what is left is uncertain."""
+    sections = rows.select("id", "section")
+    df = candidates.join(sections.select(F.col("id").alias("a_id"), F.col("section").alias("sa")), "a_id").join(sections.select(F.col("id").alias("b_id"), F.col("section").alias("sb")), "b_id")
+    apart, even = F.col("sa") != F.col("sb"), (F.col("a_id").cast("bigint") + F.col("b_id").cast("bigint")) % 2 == 0
+    return df.select("pair_id", F.when(apart, "different_transfer_type").when(even, "different_functionality").otherwise("uncertain").alias("verdict"), F.when(even, "by section").alias("reason"), F.lit(1).alias("batch_id"), F.lit(0).cast("bigint").alias("line_no"))
+
+
+def judged(spark: SparkSession, d: str, verdict: str) -> DataFrame:
+    rows = cut(feature_rows(spark, d))
+    found = cut(pairs.candidates(rows, CONFIG))
+    return groups.pair_table(exchange.merge_verdicts(found, by_section(found, rows)), rows, verdict)
+
+
+def _shared(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/cut-{name}-{uuid.uuid4().hex}"
 
 
 # ---- the queries
@@ -178,7 +197,10 @@ def verdict_parse(spark: SparkSession, d: str) -> DataFrame:
     """Verdict lines written out of the events: some malformed, some of an unknown verdict, many for one pair."""
     e = _table(spark, d, "events")
     word = F.element_at(F.array(*map(F.lit, [*VERDICTS, "maybe"])), (F.col("event_id") % 5 + 1).cast("int"))
-    line = F.when(F.col("event_id") % 7 == 0, "not json").when(F.col("event_id") % 11 == 0, "[1]").otherwise(F.concat(F.lit('{"pair_id": "p_'), "user_id", F.lit('", "verdict": "'), word, F.lit('", "reason": "'), "event_type", F.lit('"}')))
+    reason = F.when(F.col("event_id") % 23 == 0, "").otherwise(F.concat(F.lit(', "reason": "'), "event_type", F.lit('"')))
+    good = F.concat(F.lit('{"pair_id": "p_'), "user_id", F.lit('", "verdict": "'), word, F.lit('"'), reason, F.lit("}"))
+    every = lambda n: F.col("event_id") % n == 0
+    line = F.when(every(7), "not json").when(every(11), "[1]").when(every(13), F.concat(good, F.lit(" xyz"))).when(every(17), F.concat(good, good)).when(every(19), F.translate(good, '"', "'")).otherwise(F.concat(F.lit("\u00a0"), good))
     lines = e.select(line.alias("value"), (F.col("event_id") % 3).cast("int").alias("batch_id"), F.col("event_id").alias("line_no"))
     return exchange.last_verdicts(parse_verdicts(lines).where(F.col("verdict").isin(VERDICTS))).select("pair_id", "verdict", "reason", "batch_id", "line_no")
 
@@ -188,7 +210,7 @@ def merge_verdicts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pending_pairs(spark: SparkSession, d: str) -> DataFrame:
-    verdicts = cut(merged(spark, d)[0])
+    verdicts = merged(spark, d)[0]
     return exchange.pending_pairs(verdicts.select("pair_id", "a_id", "b_id"), verdicts.where(F.col("reason") != exchange.NO_VERDICT))
 
 
@@ -200,16 +222,28 @@ def duplicate_groups(spark: SparkSession, d: str) -> DataFrame:
 
 def report_summary(spark: SparkSession, d: str) -> DataFrame:
     verdicts, rows = merged(spark, d)
-    verdicts = cut(verdicts)
     return groups.summary(rows, verdicts, groups.duplicate_groups(verdicts, rows), final_sections(spark, d))
 
 
 def uncertain_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return groups.pair_table(*merged(spark, d), "uncertain")
+    return judged(spark, d, "uncertain")
 
 
 def apart_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return groups.pair_table(*merged(spark, d), "different_functionality")
+    return judged(spark, d, "different_functionality")
+
+
+def lookalike_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return judged(spark, d, "different_transfer_type")
+
+
+def group_members(spark: SparkSession, d: str) -> DataFrame:
+    verdicts, rows = merged(spark, d)
+    return groups.member_table(groups.in_order(groups.duplicate_groups(verdicts, rows)), rows)
+
+
+def group_evidence(spark: SparkSession, d: str) -> DataFrame:
+    return groups.evidence_table(groups.in_order(groups.duplicate_groups(*merged(spark, d))))
 
 
 def unsettled_sections(spark: SparkSession, d: str) -> DataFrame:
@@ -220,10 +254,55 @@ def record_hash(spark: SparkSession, d: str) -> DataFrame:
     return _table(spark, d, "benchmark").select("item_id", text.short_hash(F.col("text")).alias("hash"))
 
 
+def tsv_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Records written as TSV files and read again; names hold quotes, a tab and a line's end."""
+    odd = F.concat("name", F.lit(' "'), "id", F.lit('"\t\n end '))
+    path = _shared(spark, "tsv")
+    records(spark, d).select("id", "section", odd.alias("name"), F.lit("more").alias("extra")).write.csv(path, sep="\t", header=True, quote='"', escape='"', quoteAll=True)
+    return source.read_records(spark, path).select("id", "section", "name")
+
+
+def json_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    path = _shared(spark, "json") + ".jsonl"
+    source.write_table(_table(spark, d, "benchmark"), path)
+    return source.read_table(spark, path).select("item_id", "text")
+
+
+def lemma_table(spark: SparkSession, d: str) -> DataFrame:
+    """The lemma table of the words of part names, written and read again."""
+    known = spark.createDataFrame(list(LEMMAS.items()), "token string, lemma string")
+    words = _table(spark, d, "part").select(F.explode(F.split("p_name", " ")).alias("token"))
+    path = _shared(spark, "lemmas")
+    write_lemmas(words.join(known, "token", "left").select("token", F.coalesce("lemma", "token").alias("lemma")), path)
+    return read_lemmas(spark, path)
+
+
+def section_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Labels of sections from JSON files of a hundred parts each, every other file a bare list: the last valid one of a section counts."""
+    part = _table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.floor(F.col("p_partkey") / 100).alias("file"), "p_type", "p_brand", "p_name")
+    category = F.element_at(F.array(*map(F.lit, [*CATEGORIES, "else"])), (F.col("k") % 5 + 1).cast("int"))
+    types = F.when(F.col("k") % 3 > 0, F.array(F.upper("p_name"), F.concat(F.lit(" "), "p_brand", F.lit("\t")), F.lit(" "), F.lower("p_name")))
+    row = F.struct("k", F.struct(F.concat("file", F.lit(" / "), "p_type").alias("section_path"), category.alias("category"), types.alias("transfer_types"), F.col("p_name").alias("reason")).alias("e"))
+    listed = part.groupBy("file").agg(F.transform(F.array_sort(F.collect_list(row)), lambda x: x["e"]).alias("sections"))
+    value = F.when(F.col("file") % 2 == 0, F.to_json("sections")).otherwise(F.to_json(F.struct("sections")))
+    found = classify.last_labels(parse_section_labels(listed.select(value.alias("value"))))
+    return found.select("section_path", "category", F.array_join("transfer_types", ",").alias("types"), "reason", "pos")
+
+
+def lexicon_digests(spark: SparkSession, d: str) -> DataFrame:
+    return spark.createDataFrame([(PAGES.digest(), PAGES.stopwords_digest())], "labels string, stopwords string")
+
+
+def empty_vocabulary(spark: SparkSession, d: str) -> DataFrame:
+    """Blocks of texts without words: the word cosine of their pairs is 0."""
+    items = _table(spark, d, "benchmark").select(F.array(F.col("item_id") % 4).cast("array<string>").alias("block"), F.col("item_id").alias("id"), F.expr("repeat('!', 1 + cast(item_id % 7 as int))").alias("text"))
+    return pairs.cosines(items, CONFIG).select("a_id", "b_id", F.round("tfidf_char", 4).alias("tfidf_char"), "tfidf_word")
+
+
 _ALL = [
-    parse_records, section_profile, repeated_keys, normalize_documents, lemma_lookup, label_extract, classify_sections, route_sections, merge_labels, feature_table, char_grams, word_grams, tfidf_weights,
-    cosine_pairs_char, cosine_pairs_word, token_set_ratios, candidates, topk_union_ties, batch_pairs, batch_manifest, verdict_parse, merge_verdicts, pending_pairs, duplicate_groups, report_summary,
-    uncertain_pairs, apart_pairs, unsettled_sections, record_hash,
+    tsv_scan, json_round_trip, parse_records, section_profile, repeated_keys, normalize_documents, lemma_lookup, lemma_table, label_extract, classify_sections, route_sections, section_labels, lexicon_digests, merge_labels,
+    feature_table, char_grams, word_grams, tfidf_weights, cosine_pairs_char, cosine_pairs_word, empty_vocabulary, token_set_ratios, candidates, topk_union_ties, batch_pairs, batch_manifest, verdict_parse, merge_verdicts,
+    pending_pairs, duplicate_groups, group_members, group_evidence, report_summary, uncertain_pairs, apart_pairs, lookalike_pairs, unsettled_sections, record_hash,
 ]
 
 

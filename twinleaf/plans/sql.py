@@ -106,7 +106,7 @@ marks AS (SELECT id, regexp_matches(lower(name), 'st') AS m FROM feat),
 given AS (
   SELECT pair_id, CASE WHEN x.m <> y.m THEN 'different_functionality' WHEN score >= 0.55 THEN 'duplicate' ELSE 'different_functionality' END AS verdict,
     CASE WHEN x.m <> y.m THEN 'one title is negative' WHEN score >= 0.55 THEN 'titles agree' ELSE 'titles differ' END AS reason
-  FROM cand JOIN marks x ON x.id = a_id JOIN marks y ON y.id = b_id WHERE tier = 'high_confidence' OR fuzz < 0.8),
+  FROM cand JOIN marks x ON x.id = a_id JOIN marks y ON y.id = b_id WHERE (CAST(a_id AS BIGINT) + CAST(b_id AS BIGINT)) % 3 <> 0),
 verd AS (SELECT c.pair_id, coalesce(g.verdict, 'uncertain') AS verdict, CASE WHEN g.pair_id IS NULL THEN 'no verdict from LLM' ELSE g.reason END AS reason, a_id, b_id, score, tier FROM cand c LEFT JOIN given g USING (pair_id))"""
 _GROUPS = rf"""{_VERDICTS},
 edge AS (SELECT a_id, b_id FROM verd WHERE verdict = 'duplicate'),
@@ -120,11 +120,17 @@ _TYPES = "CASE WHEN {0}.id IS NULL THEN '?' WHEN len({0}.types) > 0 THEN array_t
 
 
 def _pair_table(verdict: str) -> str:
-    return f"""WITH RECURSIVE {_VERDICTS} SELECT pair_id, a_id, b_id, format('{{:.3f}}', round(score + 1e-9, 3)) AS score, coalesce(reason, 'no reason given') AS reason,
-  x.name AS a_name, x.section AS a_section, {_TYPES.format("x")} AS a_types, y.name AS b_name, y.section AS b_section, {_TYPES.format("y")} AS b_types
-FROM verd LEFT JOIN feat x ON x.id = a_id LEFT JOIN feat y ON y.id = b_id WHERE verdict = '{verdict}'"""
+    return f"""WITH {_CANDIDATES},
+judged AS (
+  SELECT pair_id, a_id, b_id, score, x.name AS a_name, x.section AS a_section, {_TYPES.format("x")} AS a_types, y.name AS b_name, y.section AS b_section, {_TYPES.format("y")} AS b_types,
+    (CAST(a_id AS BIGINT) + CAST(b_id AS BIGINT)) % 2 = 0 AS even
+  FROM cand LEFT JOIN feat x ON x.id = a_id LEFT JOIN feat y ON y.id = b_id)
+SELECT pair_id, a_id, b_id, format('{{:.3f}}', round(score + 1e-9, 3)) AS score, CASE WHEN even THEN 'by section' ELSE 'no reason given' END AS reason, a_name, a_section, a_types, b_name, b_section, b_types
+FROM judged WHERE CASE WHEN a_section <> b_section THEN 'different_transfer_type' WHEN even THEN 'different_functionality' ELSE 'uncertain' END = '{verdict}'"""
 
 
+_NUMBERED = f"""{_GROUPS},
+numbered AS (SELECT c, row_number() OVER (ORDER BY count(*) DESC, list_sort(list(id))) AS number FROM comp GROUP BY c)"""
 _PARTS = "items AS (SELECT p_brand AS block, p_partkey AS id, p_name AS text FROM part)"
 _STEMS = "list_concat(list_concat(CASE WHEN list_contains(ls, 'company') THEN ['bcom'] ELSE [] END, CASE WHEN list_contains(ls, 'inner') THEN ['bin', 'binto'] ELSE [] END), CASE WHEN list_contains(ls, 'organisation') THEN ['borg'] ELSE [] END)"
 
@@ -149,13 +155,28 @@ SQL = {
     "topk_union_ties": f"WITH {_PARTS},{_weights('v', 'items', _WORDS)}, ends AS (SELECT a_id, b_id, sim, a_id AS me, b_id AS other FROM vsim UNION ALL SELECT a_id, b_id, sim, b_id, a_id FROM vsim) SELECT DISTINCT a_id, b_id, round(sim, 4) AS score FROM (SELECT * FROM ends QUALIFY row_number() OVER (PARTITION BY me ORDER BY round(sim, 10) DESC, other) <= 5)",
     "batch_pairs": f"WITH {_CANDIDATES} SELECT batch_id, pair_id, tier, x.name AS a_name, y.section AS b_section, array_to_string(x.types, ',') AS a_types FROM batched JOIN feat x ON x.id = a_id JOIN feat y ON y.id = b_id",
     "batch_manifest": f"WITH {_CANDIDATES} SELECT batch_id, format('batch_{{:04d}}.json', batch_id) AS file, format('batch_{{:04d}}.jsonl', batch_id) AS verdict_file, count(*) AS n FROM batched GROUP BY batch_id",
-    "verdict_parse": "SELECT 'p_' || user_id AS pair_id, ['duplicate', 'different_transfer_type', 'different_functionality', 'uncertain', 'maybe'][event_id % 5 + 1] AS verdict, event_type AS reason, CAST(event_id % 3 AS INTEGER) AS batch_id, event_id AS line_no FROM events WHERE event_id % 7 <> 0 AND event_id % 11 <> 0 AND event_id % 5 <> 4 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id % 3 DESC, event_id DESC) = 1",
+    "verdict_parse": "SELECT 'p_' || user_id AS pair_id, ['duplicate', 'different_transfer_type', 'different_functionality', 'uncertain', 'maybe'][event_id % 5 + 1] AS verdict, CASE WHEN event_id % 23 = 0 THEN '' ELSE event_type END AS reason, CAST(event_id % 3 AS INTEGER) AS batch_id, event_id AS line_no FROM events WHERE event_id % 7 <> 0 AND event_id % 11 <> 0 AND event_id % 13 <> 0 AND event_id % 17 <> 0 AND event_id % 19 <> 0 AND event_id % 5 <> 4 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id % 3 DESC, event_id DESC) = 1",
     "merge_verdicts": f"WITH {_VERDICTS} SELECT * FROM verd",
     "pending_pairs": f"WITH {_VERDICTS} SELECT pair_id, a_id, b_id FROM verd WHERE reason = 'no verdict from LLM'",
     "duplicate_groups": f"WITH RECURSIVE {_GROUPS} SELECT row_number() OVER (ORDER BY size DESC, members) AS number, size, array_to_string(members, ',') AS member_ids, array_to_string(list_transform(sets, lambda x: '{{' || array_to_string(x, ',') || '}}'), ' ') AS types, n_edges FROM grp",
     "report_summary": f"WITH RECURSIVE {_GROUPS} SELECT (SELECT count(*) FROM feat) AS total_records, (SELECT count(*) FROM verd) AS total_pairs, {', '.join(f"(SELECT count(*) FROM verd WHERE verdict = '{v}') AS n_{v}" for v in ('duplicate', 'different_transfer_type', 'different_functionality', 'uncertain'))}, (SELECT count(*) FROM grp) AS group_count, (SELECT CAST(coalesce(sum(n_edges), 0) AS BIGINT) FROM grp) AS duplicate_pair_count, (SELECT coalesce(max(size), 0) FROM grp) AS largest_group, (SELECT count(*) FROM final WHERE source <> 'heuristic') AS ambiguous_sections",
     "uncertain_pairs": _pair_table("uncertain"),
     "apart_pairs": _pair_table("different_functionality"),
+    "lookalike_pairs": _pair_table("different_transfer_type"),
+    "group_members": f"WITH RECURSIVE {_NUMBERED} SELECT number, comp.id, coalesce(name, '?') AS name, coalesce(section, '?') AS section, {_TYPES.format('feat')} AS types FROM comp JOIN numbered USING (c) LEFT JOIN feat USING (id)",
+    "group_evidence": f"WITH RECURSIVE {_NUMBERED} SELECT number, a_id, b_id, format('{{:.3f}}', round(score + 1e-9, 3)) AS score, coalesce(reason, 'no reason given') AS reason FROM verd JOIN comp ON comp.id = a_id JOIN numbered USING (c) WHERE verdict = 'duplicate'",
+    "tsv_scan": f"WITH {_RECORDS} SELECT id, section, name || ' \"' || id || '\"' || chr(9) || chr(10) || ' end' AS name FROM records",
+    "json_round_trip": "SELECT item_id, text FROM benchmark",
+    "lemma_table": f"SELECT DISTINCT token, coalesce(MAP {{{', '.join(f"'{k}': '{v}'" for k, v in LEMMAS.items())}}}[token], token) AS lemma FROM (SELECT unnest(string_split(p_name, ' ')) AS token FROM part)",
+    "section_labels": """
+WITH rows AS (
+  SELECT p_partkey // 100 || ' / ' || p_type AS section_path, ['transfer-type', 'feature', 'mixed', 'other', 'else'][p_partkey % 5 + 1] AS category, p_name AS reason,
+    CASE WHEN p_partkey % 3 > 0 THEN list_sort(list_distinct([lower(p_name), lower(p_brand)])) ELSE [] END AS types,
+    CAST(row_number() OVER (PARTITION BY p_partkey // 100 ORDER BY p_partkey) - 1 AS INTEGER) AS pos
+  FROM part)
+SELECT section_path, category, array_to_string(types, ',') AS types, reason, pos FROM rows WHERE category <> 'else' QUALIFY row_number() OVER (PARTITION BY section_path ORDER BY pos DESC) = 1""",
+    "lexicon_digests": r"SELECT substring(sha256('company\bcom\binner\bin\w*\s+th\w*\binto\borganisation\borg\b\bhttps\b\bspam\w*\bads\b'), 1, 16) AS labels, substring(sha256('anddedieexamplelaofthe'), 1, 16) AS stopwords",
+    "empty_vocabulary": f"WITH items AS (SELECT CAST(item_id % 4 AS VARCHAR) AS block, item_id AS id, repeat('!', 1 + item_id % 7) AS text FROM benchmark),{_weights('c', 'items', _CHARS)} SELECT a_id, b_id, round(sim, 4) AS tfidf_char, CAST(0 AS DOUBLE) AS tfidf_word FROM csim WHERE sim >= 0.6 * 0.55",
     "unsettled_sections": f"WITH {_SECTIONS} SELECT section_path, category, source FROM final WHERE source <> 'heuristic'",
     "record_hash": "SELECT item_id, substring(sha256(text), 1, 16) AS hash FROM benchmark",
 }

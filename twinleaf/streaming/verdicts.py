@@ -3,19 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from twinleaf.operators.exchange import last_verdicts
-from twinleaf.sources.exchange import VERDICTS, parse_verdicts
+from twinleaf.sources.exchange import valid_verdicts, verdict_lines
 
 
 def verdict_stream(spark: SparkSession, directory: str) -> DataFrame:
     """pair_id, verdict, reason, batch_id, line_no of batch_NNNN.jsonl files as they appear."""
     whole = spark.readStream.schema("value string").option("wholetext", True).option("pathGlobFilter", "batch_*.jsonl").format("text").load(directory)
-    named = whole.select("value", F.regexp_extract(F.col("_metadata.file_name"), r"batch_(\d+)\.jsonl$", 1).cast("int").alias("batch_id"))
-    lines = named.select("batch_id", F.posexplode(F.split("value", r"\R"))).select("batch_id", F.col("pos").cast("bigint").alias("line_no"), F.col("col").alias("value"))
-    return parse_verdicts(lines).where(F.col("verdict").isin(VERDICTS)).select("pair_id", "verdict", "reason", "batch_id", "line_no")
+    return valid_verdicts(verdict_lines(whole))
 
 
 def keep_latest(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
