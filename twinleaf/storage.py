@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,14 +26,39 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def cut(df: DataFrame, parts: int | None = None) -> DataFrame:
-    """Write df into the shared folder and read it back: the lineage ends there and a lost executor costs nothing done before."""
+#: Paths of the tables made in each open scope.
+_scopes: list[list[str]] = []
+
+
+def cut(df: DataFrame, keep: bool = False) -> DataFrame:
+    """Write df into the shared folder and read it back: the lineage ends there and a lost executor costs nothing done before.
+
+    keep: the table outlives the innermost scratch() and belongs to the one around it.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
-    (df if parts is None else df.coalesce(parts)).write.parquet(path)
+    df.write.parquet(path)
+    if len(_scopes) > keep:
+        _scopes[-1 - keep].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are cut inside are deleted at the end: what is still to be read must be written by then, or kept."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def put(spark: SparkSession, name: str, data: bytes) -> str:
     """Write a file of bounded size into the shared folder; returns its address."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
@@ -44,8 +71,6 @@ def put(spark: SparkSession, name: str, data: bytes) -> str:
 
 def remove(spark: SparkSession, df: DataFrame) -> None:
     """Delete the files of a table made by cut() once no later plan reads it."""
-    jvm = spark._jvm
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         if "/cut-" in path:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            delete(spark, path)
