@@ -65,7 +65,7 @@ def shingles(text):
     return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
 
 
-def plain_components(rows):
+def plain_components(rows, percent=85):
     sets = {i: shingles(t) for i, t in rows}
     root = {i: i for i in sets}
 
@@ -76,7 +76,7 @@ def plain_components(rows):
 
     for a in sets:
         for b in sets:
-            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
     return {i: (len(s), find(i), find(i) == i) for i, s in sets.items()}
@@ -671,9 +671,40 @@ def test_pipeline_keeps_the_order_of_the_mix(spark, monkeypatch):
     rows = c.run(spark, d).collect()
     assert [r.doc_id for r in rows] == sorted(place, key=place.get)
     assert [r.mix_position for r in rows] == list(range(len(place)))
-    odd = spark.createDataFrame([(i, f"text {k}", "en", "s", 6) for k, i in enumerate([1, 1, None, None, 2])], DOCS)
-    got = c.tokens(spark, odd, d).collect()
-    assert sorted(r.mix_position for r in got) == list(range(5)) and Counter(r.doc_id for r in got) == Counter([1, 1, None, None, 2])
+
+
+def test_places_in_the_mix_are_the_operators(spark, tmp_path):
+    import corpus_pipeline as c
+
+    d = "/root/testdata/sf0.01"
+    c.mix(spark, spark.read.parquet(f"{d}/documents.parquet"), d).write.parquet(str(tmp_path / "mixed"))
+    place = {r.doc_id: r.position for r in mixing.mix_positions(spark.read.parquet(f"{d}/documents.parquet"), c.queries.TARGET_WEIGHTS).collect()}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 100_000)  # several splits of a file
+    try:
+        assert {r.doc_id: r.mix_position for r in c.tokens(spark, spark.read.parquet(str(tmp_path / "mixed")), d).collect()} == place
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_pipeline_stages_on_odd_rows(spark, tmp_path):
+    import corpus_pipeline as c
+
+    rows = [(1, None, "en", "s", None), (1, None, "en", "s", None), (None, "", None, None, 0), (None, prose(40, 1), "en", "s", 1), (2, prose(40, 2), "en", "t", 1), (2, prose(40, 2), "en", "t", 1), (3, prose(40, 2) + " more", "en", None, 1), (4, "token=abcdefghijklmnop x", "fr", "t", 24), (5, prose(20_000, 5), "fr", "t", 1)]
+    odd = spark.createDataFrame(rows, DOCS)
+    spark.createDataFrame([(9, 1, 0)], "doc_id long, quality int, toxic int").limit(0).write.parquet(str(tmp_path / "labels.parquet"))  # no labels: all stay
+    for k, given in enumerate((odd, odd.limit(0))):
+        left = given
+        for name, stage in c.STAGES:
+            path = str(tmp_path / f"{k}-{name}")
+            stage(spark, left, str(tmp_path)).write.parquet(path)
+            last, left = left, spark.read.parquet(path)
+            assert name == "bpe_encoding" or left.columns == odd.columns
+            if k or name == "quality_classifier":
+                assert left.count() == (0 if k else len(rows))
+        if not k:
+            assert Counter(r.doc_id for r in left.collect()) == Counter([1, 1, None, None, 2, 4, 5])
+            assert {r.text for r in last.where("doc_id = 4").collect()} == {"<secret> x"} and last.where("doc_id = 4").first().n_chars == 10
+            assert sorted(r.mix_position for r in left.collect()) == list(range(7)) and all(r.round_trip or r.doc_id == 1 for r in left.collect())
 
 
 def test_pipeline_stages(spark, tmp_path):
@@ -692,7 +723,7 @@ def test_pipeline_stages(spark, tmp_path):
     q, n, s, m, t = kept.values()
     predicted = {r.doc_id: r.predicted for r in quality.quality_scores(docs, spark.read.parquet(f"{d}/labels.parquet")).collect()}
     assert set(q) == {i for i, p in predicted.items() if p}
-    assert set(n) == {i for i, x in plain_components([(i, r.text) for i, r in q.items()]).items() if x[2]}
+    assert set(n) == {i for i, x in plain_components([(i, r.text) for i, r in q.items()], c.LIKE).items() if x[2]}
     assert set(s) == set(m) == set(t) == set(n)
     assert not any(secrets.ASSIGN.search(r.text) and "password=" in r.text and "<secret>" not in r.text for r in s.values())
     assert all(r.round_trip and r.n_tokens == len(r.ids) for r in t.values()) and json.dumps([r.ids for r in t.values()])

@@ -21,7 +21,7 @@ import json
 import mmap
 import uuid
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -464,7 +464,7 @@ def _encoded(path: str, lexicon: str):
             ids, ends = encoder.encode(batch.column(1))
             same = [x == y for x, y in zip(plain(batch.column(1)), encoder.decode(ids, ends), strict=True)]
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends)), lists, pa.array(same, pa.bool_())], names=["id", "n_tokens", "ids", "round_trip"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends)), lists, pa.array(same, pa.bool_()), *batch.columns[2:]], names=["id", "n_tokens", "ids", "round_trip", *batch.schema.names[2:]])
 
     return run
 
@@ -493,9 +493,13 @@ def encode_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     return docs.mapInArrow(_digests(tokenizer_path, packed), f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
 
 
-def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", words: list[str] | None = None) -> DataFrame:
-    """One row per input row: id, n_tokens, ids array<int>, round_trip (decoding the ids gave the text); nulls as encode_digests has them."""
-    packed = _lexicon(docs, tokenizer_path, text_col, words)
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(_encoded(tokenizer_path, packed), f"id {kind}, n_tokens long, ids array<int>, round_trip boolean").withColumnRenamed("id", id_col)
+def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", words: list[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per input row: id, n_tokens, ids array<int>, round_trip (decoding the ids gave the text), and the columns of `keep`.
+
+    Nulls, repeated rows, other columns and an empty table are as encode_digests has them.
+    """
+    name = _lexicon(docs, tokenizer_path, text_col, words)
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)])
+    kinds = {c: docs.schema[c].dataType.simpleString() for c in docs.columns}
+    made = docs.mapInArrow(_encoded(tokenizer_path, name), ", ".join([f"id {kinds['id']}, n_tokens long, ids array<int>, round_trip boolean", *(f"k{i} {kinds[f'k{i}']}" for i in range(len(keep)))]))
+    return made.withColumnsRenamed({"id": id_col} | {f"k{i}": c for i, c in enumerate(keep)})

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from twinleaf.llm.common import bound_batches, frugal, raw, steps
 from twinleaf.operators.components import connected_components
-from twinleaf.storage import cut
+from twinleaf.storage import cut, scratch
 
 WORDS = 5
 BINS = 512
@@ -316,6 +316,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     made = cut(docs.mapInArrow(_described(percent), "id long, n long, digest binary, sig binary"))
     classes = made.where("digest is not null and id is not null").groupBy("digest", "n", "sig").agg(F.min("id").alias("rep"))
     reps = cut(classes.select("digest", "rep", "sig"))
+    with scratch(docs.sparkSession):
+        final = cut(_linked(docs, reps, percent), keep=True)
+    least = reps.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
+    out = made.select("id", "n", "digest").join(least, "digest", "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
+
+
+def _linked(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of the representatives (digest, rep, sig) that some other is linked with: steps 1 to 4 over docs (id, text)."""
     signed = reps.where("sig is not null").select(F.col("rep").alias("id"), "sig")
     threshold = percent / 100 - SLACK
 
@@ -352,13 +362,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     work = work.repartition("hub", "x", "y").sortWithinPartitions("hub", "x", "y")
     late = cut(work.mapInArrow(_blocks(threshold), "a long, b long").unionByName(early).distinct())
     if late.isEmpty():
-        final = comps
-    else:
-        # the links so far are kept as stars of their components
-        stars = comps.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
-        final = connected_components(stars.unionByName(_confirm(late, docs, percent)), "a", "b")
-
-    least = reps.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
-    out = made.select("id", "n", "digest").join(least, "digest", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
+        return comps
+    # the links so far are kept as stars of their components
+    stars = comps.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+    return connected_components(stars.unionByName(_confirm(late, docs, percent)), "a", "b")
