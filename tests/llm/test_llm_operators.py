@@ -247,6 +247,38 @@ def test_trees_learn_the_seed_labels():
     assert np.mean((model.score([r[0] for r in held]) >= 0.5) == [r[1] for r in held]) > 0.95
 
 
+def test_a_label_is_not_among_its_own_features():
+    """Endings met once or twice, each with one label: odds that saw the label would tell it."""
+    r = random.Random(13)
+    rows = [(f"http://h{k}.example.net/{r.choice(WORDS)}/{k}", k % 2) for k in range(400)]
+    model = urls.Trees([u for u, _ in rows], np.array([y for _, y in rows], float))
+    fresh = [(f"http://h{k}.example.net/{r.choice(WORDS)}/{k}", k % 2) for k in range(400, 800)]
+    accuracy = lambda some: np.mean((model.score([u for u, _ in some]) >= 0.5) == [y for _, y in some])
+    assert accuracy(rows) < accuracy(fresh) + 0.25
+
+
+def test_a_batch_size_that_the_session_sets_stays(spark):
+    from twinleaf.llm import common
+
+    held = spark.conf.get(common._BATCH, None)
+    try:
+        spark.conf.set(common._BATCH, "1234567")
+        common.bound_batches(spark)
+        assert spark.conf.get(common._BATCH) == "1234567"
+        spark.conf.unset(common._BATCH)
+        common.bound_batches(spark)
+        assert spark.conf.get(common._BATCH) == str(common.BATCH_BYTES)
+    finally:
+        spark.conf.unset(common._BATCH) if held is None else spark.conf.set(common._BATCH, held)
+
+
+def test_long_urls_and_repeated_rows(spark):
+    given = [(1, "https://a.example.org/" + "x/" * 200_000), (2, "http://b.net/?" + "a=1&" * 100_000), (3, "http://c.net/y"), (3, "http://c.net/y"), (None, "http://c.net/y")]
+    got = urls.url_verdicts(spark.createDataFrame(given, "page_id long, url string")).collect()
+    assert len(got) == 5 and {r.verdict for r in got if r.page_id == 1} == {"allow"}
+    assert len({(r.host, r.path, r.rule, r.verdict, r.block_score) for r in got if r.host == "c.net"}) == 1
+
+
 def test_copies_of_a_url_leave_room_for_others(spark, monkeypatch):
     host = urls.RULES[0][1]
     seen = []
