@@ -191,6 +191,24 @@ def test_lemma_tables(spark, tmp_path):
     assert Dictionary(files.read_lemmas(spark, path)).digest() != Dictionary(files.read_lemmas(spark, str(tmp_path / "l.json"))).digest()
 
 
+def test_scopes_delete_what_is_cut_in_them(spark):
+    from twinleaf.storage import cut, put, scratch
+
+    there = lambda df: bool(df.inputFiles()) and records.exists(spark, df.inputFiles()[0])
+    df = spark.createDataFrame([(1,)], "a int")
+    with scratch(spark):
+        with scratch(spark):
+            inner, kept = cut(df), cut(df, keep=True)
+            files_of = inner.inputFiles()
+            assert there(inner) and there(kept)
+        assert not records.exists(spark, files_of[0]) and kept.first().a == 1
+        outer = kept.inputFiles()[0]
+    assert not records.exists(spark, outer)
+    free = cut(df, keep=True)
+    assert there(free)
+    assert spark.read.format("binaryFile").load(put(spark, "some.bin", b"\x00\xff")).first().content == b"\x00\xff"
+
+
 def test_components(spark):
     df = spark.createDataFrame([(1, 2), (2, 3), (3, 3), (5, 4), (4, 5), (None, 1)] + [(100 + i, 101 + i) for i in range(40)], "a_id long, b_id long")
     got = {r.node: r.component for r in components.connected_components(df).collect()}
