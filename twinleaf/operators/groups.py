@@ -38,8 +38,8 @@ def totals(groups: DataFrame) -> DataFrame:
 
 
 def in_order(groups: DataFrame) -> DataFrame:
-    """Groups with number, from 1: larger first, then by members."""
-    return numbered(groups, F.desc("size"), F.col("member_ids"), name="_n").withColumn("number", F.col("_n") + 1).drop("_n")
+    """Groups with number, from 1: larger first, then by members (of which the least tells groups apart)."""
+    return numbered(groups, F.desc("size"), F.element_at("member_ids", 1), name="_n").withColumn("number", F.col("_n") + 1).drop("_n")
 
 
 def verdict_counts(verdicts: DataFrame) -> DataFrame:
