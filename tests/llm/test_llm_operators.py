@@ -277,6 +277,7 @@ def test_long_urls_and_repeated_rows(spark):
     got = urls.url_verdicts(spark.createDataFrame(given, "page_id long, url string")).collect()
     assert len(got) == 5 and {r.verdict for r in got if r.page_id == 1} == {"allow"}
     assert len({(r.host, r.path, r.rule, r.verdict, r.block_score) for r in got if r.host == "c.net"}) == 1
+    assert (urls.Trees([], np.empty(0)).score(["http://a.net", None]) == 0).all()
 
 
 def test_copies_of_a_url_leave_room_for_others(spark, monkeypatch):

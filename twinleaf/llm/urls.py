@@ -105,6 +105,9 @@ class Trees:
             for counts, e in zip(seen, _endings(u), strict=True):
                 counts[e][fold, int(label)] += 1
         self.odds = [self._odds({e: c.sum(axis=0) for e, c in counts.items()}) for counts in seen]
+        self.edges, self.base, self.trees = [], -math.inf, []
+        if not len(urls):  # nothing is known: nothing is blocked
+            return
         others = [[self._odds({e: c.sum(axis=0) - c[f] for e, c in counts.items()}) for counts in seen] for f in range(FOLDS)]
         x = np.array([lexical(u, others[f]) for u, f in zip(urls, folds, strict=True)], float).reshape(len(urls), -1)
         self.edges = [np.unique(np.quantile(col, np.linspace(0, 1, BINS + 1)[1:-1])) for col in x.T]
@@ -112,7 +115,6 @@ class Trees:
         rate = min(max(y.mean(), 0.01), 0.99)
         self.base = math.log(rate / (1 - rate))
         score = np.full(len(y), self.base)
-        self.trees = []
         for _ in range(TREES):
             p = 1 / (1 + np.exp(-score))
             tree = self._grow(binned, p - y, p * (1 - p), np.arange(len(y)), DEPTH)
@@ -158,6 +160,8 @@ class Trees:
 
     def score(self, urls: list[str | None]) -> np.ndarray:
         """Probability that each URL is to be blocked."""
+        if not self.trees:
+            return np.zeros(len(urls))
         x = self.features(urls)
         binned = np.stack([np.searchsorted(e, col, side="left") for e, col in zip(self.edges, x.T, strict=True)], axis=1)
         return 1 / (1 + np.exp(-(self.base + sum(self._walk(t, binned) for t in self.trees))))
@@ -199,7 +203,8 @@ def url_verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     none fits, the trees decide: block from a score of 0.5. A null URL, or one without
     "://", has an empty host and path, fits no rule and is judged by the trees as it
     is. Repeated rows and null ids give a row each; other columns are ignored; an
-    empty table gives an empty result (the trees then rest on `labelled` alone).
+    empty table gives an empty result (the trees then rest on `labelled` alone; without
+    any label they allow).
     """
     bound_batches(pages.sparkSession)
     rules = RULES if rules is None else rules
