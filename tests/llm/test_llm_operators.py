@@ -281,18 +281,24 @@ def test_long_urls_and_repeated_rows(spark):
 
 
 def test_copies_of_a_url_leave_room_for_others(spark, monkeypatch):
-    host = urls.RULES[0][1]
     seen = []
     monkeypatch.setattr(urls, "MAX_LABELLED", 30)
-    monkeypatch.setattr(urls, "Trees", lambda u, y: seen.extend(zip(u, y)))
-    rows = [(f"http://{host}/p{i % 20}/{i // 800}",) for i in range(820)] + [(f"http://{host}/hot{i}",) for i in range(3) for _ in range(400)]
-    urls.fit(spark.createDataFrame(rows, "url string"), urls.RULES, [])
+    monkeypatch.setattr(urls, "Trees", lambda u, y: seen.extend(zip(u, y, strict=True)))
+    rows = [(f"http://a.net/p{i % 20}/{i // 800}", i % 2) for i in range(820)] + [(f"http://a.net/hot{i}", 1) for i in range(3) for _ in range(400)] + [(None, 1), ("http://b.net", None), ("http://b.net", 5)]
+    urls.fit(spark.createDataFrame(rows, "url string, label int"))
     assert len(seen) == len(set(seen)) == 30
     seen.clear()
-    urls.fit(spark.createDataFrame([(f"http://{host}/hot{i % 5}",) for i in range(400)], "url string"), urls.RULES, [])
+    urls.fit(spark.createDataFrame([(f"http://a.net/hot{i % 5}", 0) for i in range(400)], "url string, label int"))
     assert len(seen) == 5
 
 
+def test_trees_from_a_labelled_table(spark):
+    labelled = spark.createDataFrame([(f"http://w{k % 9}.example.net/{k}" + "?a=1&b=2&c=3" * (k % 2), k % 2) for k in range(300)], "url string, label int")
+    pages = spark.createDataFrame([(1, "http://new.example.net/5"), (2, "http://new.example.net/5?a=1&b=2&c=3")], "page_id long, url string")
+    assert {r.page_id: r.verdict for r in urls.url_verdicts(pages, labelled=labelled).collect()} == {1: "allow", 2: "block"}
+    assert {r.verdict for r in urls.url_verdicts(pages, labelled=labelled.limit(0)).collect()} == {"allow"}
+
+
 def test_quality_scores(spark, docs, labels):
     got = quality.quality_scores(docs, labels).collect()
     assert len(got) == len(odd_rows())

@@ -1,16 +1,21 @@
 """URL filter: allow and block rules, and gradient-boosted trees for what no rule covers.
 
-The trees are fitted on labelled URLs: a bounded number of those that a rule decides
-(MAX_LABELLED, the least by hash) and a labelled list of common kinds of junk and
-ordinary addresses (seed_labels). Features are lexical: lengths, depth, digit ratio,
-entropy, parameter counts, hyphens, and log-odds of the host's suffixes and of the
-path's ending. A labelled URL's own odds come from the other FOLDS - 1 parts of the
-labels, so that no URL's label is among its features.
+The trees are fitted on labelled URLs: a table of them, of which a bounded number takes
+part (MAX_LABELLED, those of least hash), or by default a list of common kinds of junk
+and ordinary addresses, made by rule (seed_labels). Verdicts of the rules are no labels:
+they say what is wanted of some hosts and languages, not what junk looks like.
+
+Features are lexical: lengths, depth, digit ratio, entropy, parameter counts, hyphens,
+and log-odds of the host's suffixes, of the path's ending and (the greatest and the
+least) of the host's words. A labelled URL's own odds come from the other FOLDS - 1
+parts of the labels, so that no URL's label is among its features.
 """
 
 from __future__ import annotations
 
 import math
+import random
+import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -28,22 +33,44 @@ RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
 MAX_LABELLED = 20_000
 TREES, DEPTH, RATE, BINS, LEAST, FOLDS = 80, 3, 0.15, 32, 8, 5
 
-#: Host words of the labelled list: advertising, gambling, adult, drug, loan and phishing hosts, most of them hyphenated, and ordinary ones.
-_JUNK_WORDS = ["cheap-pills", "spam-farm", "adult-x", "free-casino-bonus", "buy-meds-online", "hot-singles", "win-big-now", "crypto-doubler", "xxx-tube", "replica-watches", "payday-loans-24", "ad-server-7", "click-tracker", "secure-login-verify", "poker-slots-777", "work-from-home-cash"]
-_PLAIN_WORDS = ["news", "library", "docs", "university", "museum", "weather", "recipes", "gardening", "travel", "forum", "city-council", "chess", "railways", "open-maps", "school", "botany"]
+#: Words that hosts of the labelled list are made of: of advertising, gambling, adult, drug, loan and phishing hosts, and of ordinary ones.
+_JUNK_WORDS = """
+ad ads adult bet bets betting bonus cash casino cheap click clicks crypto dating deals doubler escort free jackpot
+lender loan loans lottery lucky meds payday pharmacy phish pills poker popup porn prize replica sex singles slots spam
+sweepstakes track tracker viagra win winner xxx
+""".split()
+_PLAIN_WORDS = """
+archive art atlas blog bike botany chess city climate college council courses docs farm film forum gallery garden
+health history journal lab library maps math museum music news open park physics poetry railways recipes school science
+society theatre travel university weather wiki
+""".split()
 
 
 def seed_labels() -> list[tuple[str, int]]:
-    """Labelled URLs of common kinds (1: block), made from the two word lists by rule."""
+    """Labelled URLs of common kinds (1: block), made by rule.
+
+    Hosts of one or two words of a list, hosts of words that no list has (ordinary), and
+    hosts of random letters and digits (junk), with paths and queries of all kinds.
+    """
+    rng = random.Random(5)
     out = []
-    for k, (bad, good) in enumerate(zip(_JUNK_WORDS, _PLAIN_WORDS, strict=True)):
+
+    def add(host: str, k: int, label: int) -> None:
         for j, suffix in enumerate(("com", "net", "org", "info")):
-            out.append((f"http://www.{bad}.example.{suffix}/en/{100 * k + 7 * j}", 1))
-            out.append((f"https://{bad}{j}.example.{suffix}/en/{k}8{j}91?utm_source=feed&click=9{k}{j}7731&r=a8f{k}3e9", 1))
-            out.append((f"https://www.{good}.example.{suffix}/en/{100 * k + 7 * j}", 0))
-            out.append((f"http://blog.{good}.example.{suffix}/en/{k}8{j}.html", 0))
-            out.append((f"https://{good}.example.{suffix}/en/{k}9{j}?page={j}&ref=x", 0))
-            out.append((f"https://{good}.example.{suffix}/en/{k}9{j}?utm_source=feed", 0))
+            lang, front = ("en", "fr", "de", "es")[(j + k) % 4], ("www.", "", "m.", "blog.")[(j + k // 4) % 4]
+            path = rng.choice([f"{rng.randint(1, 9999)}", f"{rng.randint(1, 9999)}.html", f"{rng.randint(1, 9999)}/", f"{rng.randint(1, 9999)}#top", f"{rng.randint(1, 9999)}?page=2&ref=x", f"{rng.randint(1, 9999)}?utm_source=feed"])
+            out.append((f"{rng.choice(['http', 'https'])}://{front}{host}.example.{suffix}/{lang}/{path}", label))
+
+    for label, words in ((1, _JUNK_WORDS), (0, _PLAIN_WORDS)):
+        for k, word in enumerate(words):
+            add(word, k, label)
+            add(f"{word}-{words[(k + 7) % len(words)]}", k + 1, label)
+            add(f"{word}{rng.randint(1, 99)}", k + 2, label)
+    for k in range(120):
+        word = "".join(rng.choice("bcdfghklmnprstvw") + rng.choice("aeiou") + rng.choice(["", "", "n", "s", "th"]) for _ in range(rng.randint(1, 5)))
+        add(word if k % 4 else f"{word}-{word[::-1]}", k, 0)
+        if k % 3 == 0:
+            add("".join(rng.choices("bcdfghjklmnpqrstvwxz0123456789", k=rng.randint(9, 16))), k, 1)
     return out
 
 
@@ -75,6 +102,11 @@ def split_url(url: str | None) -> tuple[str, str, str, str]:
     return host.translate(str.maketrans(UPPER, LOWER)), slash + path, query, fragment
 
 
+def _host_words(url: str | None) -> set[str]:
+    """The runs of letters of the host, but for its last two labels."""
+    return set(re.findall("[a-z]+", ".".join(split_url(url)[0].split(".")[:-2])))
+
+
 def _endings(url: str | None) -> tuple[str, str, str, str]:
     host, path, _, _ = split_url(url)
     labels, segments = host.split("."), [x for x in path.split("/") if x]
@@ -88,10 +120,11 @@ def lexical(url: str | None, odds: list[dict[str, float]]) -> list[float]:
     entropy = -sum(c / n * math.log2(c / n) for c in Counter(whole).values())
     labels = host.split(".")
     digits = sum(c.isdigit() for c in whole)
+    words = [odds[-1].get(w, 0.0) for w in _host_words(url)]
     return [
         len(whole), len(host), len(path), len(query), path.count("/"), len(labels), max(map(len, labels)), host.count("-"), path.count("-"),
         digits / n, sum(c.isdigit() for c in host) / max(1, len(host)), entropy, query.count("=") + (query != "" and "=" not in query), len(fragment), whole.startswith("https:"),
-        *(o.get(e, 0.0) for o, e in zip(odds, _endings(url), strict=True)),
+        *(o.get(e, 0.0) for o, e in zip(odds, _endings(url))), max(words, default=0.0), min(words, default=0.0),
     ]
 
 
@@ -99,11 +132,13 @@ class Trees:
     """Gradient boosting with logistic loss over binned features; small, deterministic, no dependence but numpy."""
 
     def __init__(self, urls: list[str | None], y: np.ndarray):
-        seen: list[dict[str, np.ndarray]] = [defaultdict(lambda: np.zeros((FOLDS, 2))) for _ in range(4)]
+        seen: list[dict[str, np.ndarray]] = [defaultdict(lambda: np.zeros((FOLDS, 2))) for _ in range(5)]
         folds = [zlib.crc32((u or "").encode()) % FOLDS for u in urls]  # copies are in one fold
         for u, label, fold in zip(urls, y, folds, strict=True):
-            for counts, e in zip(seen, _endings(u), strict=True):
+            for counts, e in zip(seen, _endings(u)):
                 counts[e][fold, int(label)] += 1
+            for w in _host_words(u):
+                seen[-1][w][fold, int(label)] += 1
         self.odds = [self._odds({e: c.sum(axis=0) for e, c in counts.items()}) for counts in seen]
         self.edges, self.base, self.trees = [], -math.inf, []
         if not len(urls):  # nothing is known: nothing is blocked
@@ -178,38 +213,36 @@ def _scored(model):
     return run
 
 
-def fit(urls: DataFrame, rules: list[tuple[str, str, str]], extra: list[tuple[str, int]]) -> Trees:
-    """Trees from rule-decided distinct URLs of the table, the MAX_LABELLED of least hash, and the extra labels.
+def fit(labelled: DataFrame | list[tuple[str, int]]) -> Trees:
+    """Trees from labelled URLs: a list, or a table of url and label (1: block), of whose distinct rows the MAX_LABELLED of least hash take part.
 
     An estimate of the number of distinct ones gives a bound of the hash below which
     somewhat more than MAX_LABELLED are expected: only these are shuffled and sent to
-    the driver, however many there are.
+    the driver, however many there are. Null URLs and other labels are ignored.
     """
-    _, verdict = by_rule(*parts(F.col("url")), rules)
-    decided = urls.select("url", verdict.alias("verdict"), F.xxhash64("url").alias("hash")).where("verdict is not null")
-    distinct = decided.agg(F.approx_count_distinct("hash", 0.01)).first()[0]
-    bound = 1.1 * MAX_LABELLED / max(distinct, 1)
-    if bound < 1:
-        decided = decided.where(F.col("hash") < int((bound - 0.5) * 2**64))
-    rows = sorted((r.hash, r.url, int(r.verdict == "block")) for r in decided.distinct().collect())[:MAX_LABELLED]
-    rows = [r[1:] for r in rows] + extra
-    return Trees([r[0] for r in rows], np.array([r[1] for r in rows], float))
-
-
-def url_verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: list[tuple[str, str, str]] | None = None, labelled: list[tuple[str, int]] | None = None) -> DataFrame:
+    if isinstance(labelled, DataFrame):
+        given = labelled.select("url", F.col("label").cast("int").alias("label"), F.xxhash64("url").alias("hash")).where("url is not null and label in (0, 1)")
+        bound = 1.1 * MAX_LABELLED / max(given.agg(F.approx_count_distinct("hash", 0.01)).first()[0], 1)
+        if bound < 1:
+            given = given.where(F.col("hash") < int((bound - 0.5) * 2**64))
+        labelled = [r[1:] for r in sorted((r.hash, r.url, r.label) for r in given.distinct().collect())[:MAX_LABELLED]]
+    return Trees([u for u, _ in labelled], np.array([y for _, y in labelled], float))
+
+
+def url_verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: list[tuple[str, str, str]] | None = None, labelled: DataFrame | list[tuple[str, int]] | None = None) -> DataFrame:
     """One row per input row: id, host, path, rule, verdict (allow or block), block_score.
 
     A rule fits its host and all subdomains if the path starts with the rule's. Where
     none fits, the trees decide: block from a score of 0.5. A null URL, or one without
     "://", has an empty host and path, fits no rule and is judged by the trees as it
     is. Repeated rows and null ids give a row each; other columns are ignored; an
-    empty table gives an empty result (the trees then rest on `labelled` alone; without
-    any label they allow).
+    empty table gives an empty result. labelled: see fit(); without any label the trees
+    allow everything.
     """
     bound_batches(pages.sparkSession)
     rules = RULES if rules is None else rules
     urls = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"))
-    model = pages.sparkSession.sparkContext.broadcast(fit(urls, rules, seed_labels() if labelled is None else labelled))
+    model = pages.sparkSession.sparkContext.broadcast(fit(seed_labels() if labelled is None else labelled))
     kind = urls.schema["id"].dataType.simpleString()
     host, path = parts(F.col("url"))
     rule, verdict = by_rule(F.col("host"), F.col("path"), rules)
