@@ -74,8 +74,8 @@ class Dictionary:
 
     def apply(self, df: DataFrame, column: str) -> DataFrame:
         words = df.select(self.key, F.explode(F.array_distinct(column)).alias("token"))
-        found = words.join(self.table, "token").groupBy(self.key).agg(F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("_lemmas"))
-        return df.join(found, self.key, "left").withColumn(column, F.transform(column, lambda x: F.coalesce(F.try_element_at("_lemmas", x), x))).drop("_lemmas")
+        found = words.join(self.table, "token").groupBy(self.key).agg(F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("_lemma_of"))
+        return df.join(found, self.key, "left").withColumn(column, F.transform(column, lambda x: F.coalesce(F.try_element_at("_lemma_of", x), x))).drop("_lemma_of")
 
     def digest(self) -> str:
         row = self.table.agg(F.count("*"), F.sum(F.xxhash64("token", "lemma").cast("decimal(38,0)"))).first()
