@@ -57,6 +57,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed(docs, queries.TARGET_WEIGHTS)
 
 
+#: A table of a row for each file is broadcast up to this many.
+FILES = 100_000
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, round_trip, mix_position: whole texts encoded, and decoded again to compare; the place of each in the mix.
 
@@ -67,6 +71,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     placed = docs.select("doc_id", "text", F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long").alias("_part"), F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     sizes = placed.groupBy("_part", "_file").agg(F.count("*").alias("_n"))  # a row for each file
     before = sizes.select("_file", (F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_part", "_file")) - F.col("_n")).alias("_before"))
+    if len(docs.inputFiles()) <= FILES:
+        before = F.broadcast(before)
     coded = encode(placed, queries.tokenizer("byte_bpe_50k.json"), keep=["_file", "_row"])
     return coded.join(before, "_file").select("doc_id", "n_tokens", "ids", "round_trip", (F.col("_before") + F.col("_row")).alias("mix_position"))
 
