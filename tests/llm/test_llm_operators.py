@@ -310,6 +310,17 @@ def test_quality_scores(spark, docs, labels):
     assert quality.accepted(docs, labels).columns == docs.columns
 
 
+def test_quality_model_is_fitted_by_a_task(spark, docs, labels, monkeypatch):
+    def here(*_):
+        raise AssertionError("the driver holds the counts of all labelled texts")
+
+    want = quality.fit(docs, labels)
+    monkeypatch.setattr(quality, "_axes", here)  # of this process; tasks run in others
+    got = quality.fit(docs, labels)
+    assert len(got.labels) and (got.axes == want.axes).all() and (got.vectors == want.vectors).all() and (got.labels == want.labels).all()
+    assert quality.fit(docs.limit(0), labels).labels.shape == (0,)
+
+
 def test_quality_votes_against_a_plain_version():
     r = random.Random(12)
     texts = [prose(r.randint(1, 60), k) if k % 3 else prose(5, k) * 4 + "!!! $$$" for k in range(60)]

@@ -12,6 +12,7 @@ cosine.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -125,6 +126,20 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["id", "counts"])
 
 
+def _fitted(label_of: dict, prior: float):
+    """One model of all rows (id, counts): a task of 2 * PER_LABEL rows at most, so that the driver holds the finished model alone."""
+
+    @frugal
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((i, c) for b in batches for i, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        rows = list(dict(rows).items())
+        counts = np.frombuffer(b"".join(c for _, c in rows), np.float32).reshape(len(rows), WIDTH)
+        model = Model(counts, np.array([label_of[i] for i, _ in rows], float), prior)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    return run
+
+
 def _scores(model: Model, texts: list[bytes], features: Features) -> np.ndarray:
     out = [np.empty(0)]
     for b in range(0, len(texts), BLOCK):
@@ -170,10 +185,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     label_of = dict(map(tuple, picked.select("id", "label").collect()))  # 2 * PER_LABEL rows at most
     ids = docs.sparkSession.createDataFrame([(i,) for i in label_of], f"id {docs.select(id_col).schema[0].dataType.simpleString()}")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id", "left_semi")
-    rows = sorted((r[0], bytes(r[1])) for r in texts.mapInArrow(_counted, f"id {ids.schema[0].dataType.simpleString()}, counts binary").collect())
-    rows = list(dict(rows).items())
-    counts = np.frombuffer(b"".join(c for _, c in rows), np.float32).reshape(len(rows), WIDTH)
-    return Model(counts, np.array([label_of[i] for i, _ in rows], float), (good or 0) / total if total else 0.5)
+    counted = texts.mapInArrow(_counted, f"id {ids.schema[0].dataType.simpleString()}, counts binary")
+    prior = (good or 0) / total if total else 0.5
+    made = counted.repartition(1).mapInArrow(_fitted(label_of, prior), "model binary").collect()  # a row, or none where no partition is left
+    return pickle.loads(made[0][0]) if made else Model(np.empty((0, WIDTH), np.float32), np.empty(0), prior)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", label_id: str = "doc_id") -> DataFrame:
