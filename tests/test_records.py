@@ -120,6 +120,40 @@ def test_copies_form_no_pairs_among_themselves(spark, monkeypatch):
     assert seen[0] <= 6  # of 4005 among the copies alone
 
 
+def test_top_k_of_parts_forms_no_pairs_of_copies(spark, tmp_path):
+    from twinleaf.plans import queries
+
+    names = ["red bolt", "red bolt", "blue bolt", "!", "!", "red ring"]
+    rows = [(i, names[i % 6] if i < 300 else "green nut", f"Brand#{i % 2}") for i in range(301)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string").write.parquet(str(tmp_path / "part.parquet"))
+    got = queries.topk_union_ties(spark, str(tmp_path))
+    pairs_of = {(r.a_id, r.b_id): r.score for r in got.collect()}
+    best = {}
+    for (a, b), score in pairs_of.items():
+        assert a < b and rows[a][2] == rows[b][2] and score == (1 if rows[a][1] == rows[b][1] else score)
+        best.setdefault(a, []).append(b)
+        best.setdefault(b, []).append(a)
+    words = [i for i in range(300) if rows[i][1] != "!"]
+    assert sorted(best) == words
+    alike = lambda i: [j for j in words if j != i and rows[j][1:] == rows[i][1:]]
+    assert {(min(i, j), max(i, j)) for i in words for j in alike(i)[:5]} == set(pairs_of)
+    joined = [int(x) for n in _nodes(got) if "Join" in n.nodeName() for x in [n.metrics().apply("numOutputRows").value()]]
+    assert joined and max(joined) < 2000  # 62,000 pairs share a word
+
+
+def _nodes(df):
+    """The nodes of the plan that ran."""
+    plan = df._jdf.queryExecution().executedPlan()
+    todo, out = [plan.executedPlan() if "Adaptive" in plan.nodeName() else plan], []
+    while todo:
+        n = todo.pop()
+        out.append(n)
+        if "QueryStage" in n.nodeName():
+            todo.append(n.plan())
+        todo += [n.children().apply(i) for i in range(n.children().size())]
+    return out
+
+
 def test_prefilter_drops_what_the_score_would_keep(spark):
     df = spark.createDataFrame([(["x"], "1", "2", 0.32, 0.32)], "block array<string>, a_id string, b_id string, tfidf_char double, tfidf_word double")
     items = spark.createDataFrame([(["x"], "1", "q w"), (["x"], "2", "w q")], "block array<string>, id string, text string")

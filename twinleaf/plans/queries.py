@@ -179,8 +179,11 @@ def candidates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def topk_union_ties(spark: SparkSession, d: str) -> DataFrame:
-    scored = similarity.cosine_pairs(similarity.weights(_part_items(spark, d), ngrams.word_grams(F.col("text"))), "score")
-    return pairs.top_pairs(scored, CONFIG.top_k).select("a_id", "b_id", F.round("score", 4).alias("score"))
+    items, grams = _part_items(spark, d), ngrams.word_grams(F.col("text"))
+    parts = pairs.text_groups(items, CONFIG.top_k)
+    alike = parts.where((F.col("n") > 1) & (F.size(grams) > 0)).select("block", F.col("id").alias("a_id"), F.col("id").alias("b_id"), F.lit(1.0).alias("score"))
+    scored = similarity.cosine_pairs(similarity.weights(parts, grams), "score").unionByName(alike)
+    return pairs.top_pairs_of_groups(scored, parts, items, CONFIG.top_k).select("a_id", "b_id", F.round("score", 4).alias("score"))
 
 
 def batch_pairs(spark: SparkSession, d: str) -> DataFrame:
