@@ -120,6 +120,13 @@ def test_copies_form_no_pairs_among_themselves(spark, monkeypatch):
     assert seen[0] <= 6  # of 4005 among the copies alone
 
 
+def test_features_read_the_pages_once(spark):
+    from twinleaf.plans import queries
+
+    found = queries.feature_rows(spark, "/root/testdata/sf0.001")
+    assert not [f for f in found.inputFiles() if "pages.parquet" in f] and found.count()
+
+
 def test_top_k_of_parts_forms_no_pairs_of_copies(spark, tmp_path):
     from twinleaf.plans import queries
 

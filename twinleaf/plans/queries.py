@@ -46,14 +46,16 @@ def sections(spark: SparkSession, d: str) -> DataFrame:
     return classify.classify_sections(classify.section_profile(parsed(spark, d)), PAGES)
 
 
-def final_sections(spark: SparkSession, d: str) -> DataFrame:
-    """The outside labels are those of the stand-in, for ambiguous sections of the domain example.net."""
-    sure, unsure = classify.route(sections(spark, d), CONFIG)
+def final_sections(spark: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame:
+    """The outside labels are those of the stand-in, for ambiguous sections of the domain example.net. rows: the table of parsed(), where it is there already."""
+    found = sections(spark, d) if rows is None else cut(classify.classify_sections(classify.section_profile(rows), PAGES))
+    sure, unsure = classify.route(found, CONFIG)
     return classify.merge_labels(sure, unsure, classify.rule_labels(unsure.where(F.contains("section_path", F.lit("example.net")))))
 
 
 def feature_rows(spark: SparkSession, d: str) -> DataFrame:
-    return features.feature_table(parsed(spark, d), final_sections(spark, d), PAGES)
+    rows = cut(parsed(spark, d))  # else each of a dozen branches of the plan reads the pages
+    return features.feature_table(rows, final_sections(spark, d, rows), PAGES)
 
 
 def candidate_pairs(spark: SparkSession, d: str) -> DataFrame:
