@@ -308,3 +308,72 @@ def test_rare_terms_find_every_pair_above_the_threshold(spark):
         some = similarity.likely_pairs(found, least).distinct()
         got = {(r.a_id, r.b_id): r.sim for r in similarity.cosines_of(some, records, ["sim"]).collect()}
         assert want.keys() <= got.keys() and all(abs(got[k] - v) < 1e-9 for k, v in want.items()) and want
+
+
+def test_every_cosine_is_that_of_the_join(spark, monkeypatch):
+    import random
+
+    from twinleaf.functions.ngrams import char_grams
+    from twinleaf.operators import similarity
+
+    rng = random.Random(3)
+    names = ["red bolt"] * 200 + ["".join(rng.choices("abc ", k=8)) for _ in range(150)] + ["", " ", "zzz", "яя", "red  bolt"]
+    rows = [([f"b{i % 3 // 2}"], str(i), t) for i, t in enumerate(names)]
+    rows += [(["b0"], "0", "abc"), (["b0"], "0", "red bolt"), (["b1"], "0", "red bolt")]  # an id that is there more than once
+    items, grams = spark.createDataFrame(rows, "block array<string>, id string, text string"), char_grams(F.col("text"))
+    want = {(r.block[0], r.a_id, r.b_id): r.sim for r in similarity.cosine_pairs(similarity.weights(items, grams)).collect()}
+    assert len(want) > 10000
+    for whole, copies in ((24, 64), (2, 7)):  # one chunk, and up to eight
+        monkeypatch.setattr(similarity, "WHOLE", whole)
+        monkeypatch.setattr(similarity, "COPIES", copies)
+        got = [(r.a_id, r.b_id, r.sim) for r in similarity.every_cosine(items, grams).collect()]
+        assert sorted((a, b) for a, b, _ in got) == sorted((a, b) for _, a, b in want)
+        block = {}
+        for (k, a, b), sim in want.items():
+            block.setdefault((a, b), []).append(sim)
+        assert all(min(abs(sim - x) for x in block[a, b]) < 1e-12 for a, b, sim in got)
+    assert similarity.every_cosine(items.limit(0), grams).count() == 0 and similarity.every_cosine(items.where("text in ('', 'zzz')"), grams).count() == 0
+
+
+def test_every_cosine_holds_little_at_once(monkeypatch):
+    import random
+
+    import pyarrow as pa
+
+    from twinleaf.operators import similarity
+
+    rng, vectors = random.Random(4), []
+    for i in range(20):
+        vectors.append({"ids": [f"{i}-{k}" for k in range(rng.randint(1, 4))], "v": {f"t{k}": rng.random() + 0.1 for k in rng.sample(range(15), rng.randint(1, 5))}, "chunk": i % 2})
+    for lo, hi in ((0, 0), (0, 1)):
+        of = [r for r in vectors if r["chunk"] in (lo, hi)]
+        rows = [{"block": ["b"], "ids": r["ids"], "terms": list(r["v"]), "ws": list(r["v"].values()), "chunk": r["chunk"], "lo": lo, "hi": hi} for r in of]
+        want = {}
+        for i, x in enumerate(of):
+            for y in of[i:]:
+                both = x["v"].keys() & y["v"].keys()
+                if both and (lo == hi or x["chunk"] != y["chunk"]):
+                    want |= {(min(a, b), max(a, b)): sum(x["v"][t] * y["v"][t] for t in both) for a in x["ids"] for b in y["ids"] if a != b}
+        for most in (1, 9, 1 << 20):
+            for name in ("CELLS", "PRODUCTS", "ROWS"):
+                monkeypatch.setattr(similarity, name, most)
+            out = list(similarity._every(iter(pa.Table.from_pylist(rows).to_batches(max_chunksize=3))))
+            got = [tuple(r.values()) for b in out for r in b.to_pylist()]
+            assert len(got) == len(want) and {(a, b): sim for a, b, sim in got} == pytest.approx(want)
+            assert max(b.num_rows for b in out) <= max(most, 16)
+
+
+def test_char_cosines_take_no_row_for_a_shared_term(spark):
+    from tests.test_whole import compared
+    from twinleaf.plans import queries
+
+    found, d = [], "/root/testdata/sf0.01"
+
+    def query(*a):
+        found.append(queries.cosine_pairs_char(*a))
+        return found[0]
+
+    compared(spark, "cosine_pairs_char", query, queries.oracle_sql()["cosine_pairs_char"], d)
+    found[0].collect()
+    joined = [n.metrics().apply("numOutputRows").value() for n in _nodes(found[0]) if "Join" in n.nodeName()]
+    assert joined and max(joined) < 1000  # of 50,000 terms that two of its 250 records share

@@ -161,7 +161,8 @@ def tfidf_weights(spark: SparkSession, d: str) -> DataFrame:
 
 def cosine_pairs_char(spark: SparkSession, d: str) -> DataFrame:
     items = pairs.items_of(cut(feature_rows(spark, d)))
-    return similarity.cosine_pairs(similarity.weights(items, ngrams.char_grams(F.col("text")))).select("a_id", "b_id", F.round("sim", 4).alias("sim"))
+    found = similarity.every_cosine(items, ngrams.char_grams(F.col("text")))
+    return found.select("a_id", "b_id", (F.floor(F.col("sim") * 10000 + 0.5) / 10000).alias("sim"))  # compiled, as round() of a double is not
 
 
 def cosine_pairs_word(spark: SparkSession, d: str) -> DataFrame:
